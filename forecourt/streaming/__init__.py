@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+The workload this library reproduces is a one-shot batch job with no watermark, window,
+state or late data, so there is no Structured Streaming operator here. The batch plans in
+``forecourt.plans`` are pure DataFrame functions; any of them can be applied to a micro-batch
+inside ``foreachBatch`` if a caller wants to drive them from a stream.
+"""
