@@ -1 +1,90 @@
-"""placeholder"""
+"""Margin base: the deal master left-merged with reconditioning cost, and its publication."""
+
+from __future__ import annotations
+
+import datetime as dt
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from forecourt.operators.joins import merge_null_safe
+from forecourt.plans.deals import DEAL_MASTER_COLUMNS, DEAL_MASTER_SQL, deal_master_frame
+from forecourt.plans.refurb import refurb_cost
+from forecourt.plans.refurb_testdata import REFURB_SQL, refurb_inputs
+from forecourt.plans.registry import register
+from forecourt.session import shared_dir
+from forecourt.sinks.publish import blank_fill, publish_snapshot, trailing_window
+from forecourt.sources.tables import Tables
+
+MARGIN_COLUMNS = DEAL_MASTER_COLUMNS + ["actual_refurb_cost"]
+MONEY_COLUMNS = {"procurement_price": 2, "listing_price": 2, "sell_price": 2, "payment_amount": 2,
+                 "token_amount": 2, "net_disbursed_amount": 2, "actual_refurb_cost": 6}
+TRAILING_AS_OF = dt.datetime(2001, 8, 1)
+TRAILING_DAYS = 90
+
+
+def margin_base_frame(t: Tables) -> DataFrame:
+    """Deal master + refurb cost on the sell lead, null keys matching null keys; a vehicle with
+    several registrations repeats the deal row. The registration column is dropped and the
+    listing date becomes a timestamp (as the export expects)."""
+    deals = deal_master_frame(t)
+    invoices, line_costs, advisors = refurb_inputs(t)
+    cost = refurb_cost(invoices, line_costs, advisors, out_type="double")
+    merged = merge_null_safe(deals, cost, "sell_lead_id").drop("reg_no")
+    merged = merged.withColumn("car_live_date", F.col("car_live_date").cast("timestamp_ntz"))
+    return merged.select(*MARGIN_COLUMNS)
+
+
+def _select_list(prefix: str, cast_live: bool = True) -> str:
+    cols = []
+    for c in DEAL_MASTER_COLUMNS:
+        if c == "car_live_date" and cast_live:
+            cols.append(f"CAST({prefix}.car_live_date AS TIMESTAMP) AS car_live_date")
+        else:
+            cols.append(f"{prefix}.{c}")
+    return ", ".join(cols)
+
+
+MARGIN_SQL = f"""
+WITH dm AS ({DEAL_MASTER_SQL}),
+rc AS ({REFURB_SQL})
+SELECT {_select_list('dm')}, rc.actual_refurb_cost
+FROM dm LEFT JOIN rc ON dm.sell_lead_id IS NOT DISTINCT FROM rc.sell_lead_id"""
+
+
+@register("margin_base", MARGIN_SQL)
+def margin_base_q(spark: SparkSession, d: str) -> DataFrame:
+    return margin_base_frame(Tables(spark, d))
+
+
+@register("publish_snapshot", MARGIN_SQL)
+def publish_snapshot_q(spark: SparkSession, d: str) -> DataFrame:
+    """Write the margin base to two snapshot targets in the shared folder, read one back."""
+    run = shared_dir(spark, f"snapshots/{uuid.uuid4().hex}")
+    targets = [f"{run}/sheet_a", f"{run}/sheet_b"]
+    publish_snapshot(margin_base_frame(Tables(spark, d)), targets)
+    return spark.read.parquet(targets[1])
+
+
+@register("publish_trailing", f"""
+SELECT * FROM ({MARGIN_SQL}) m
+WHERE deal_status = 'Delivered'
+  AND CAST(delivery_time AS TIMESTAMP) >= TIMESTAMP '{TRAILING_AS_OF:%Y-%m-%d %H:%M:%S}' - INTERVAL {TRAILING_DAYS} DAY""")
+def publish_trailing_q(spark: SparkSession, d: str) -> DataFrame:
+    return trailing_window(margin_base_frame(Tables(spark, d)), "delivery_time", TRAILING_AS_OF, TRAILING_DAYS,
+                           status_col="deal_status", status="Delivered")
+
+
+def _blank_sql() -> str:
+    parts = []
+    for c in MARGIN_COLUMNS:
+        expr = f"CAST(CAST(m.{c} AS DECIMAL(38,{MONEY_COLUMNS[c]})) AS VARCHAR)" if c in MONEY_COLUMNS \
+            else f"CAST(m.{c} AS VARCHAR)"
+        parts.append(f"COALESCE({expr}, '') AS {c}")
+    return ", ".join(parts)
+
+
+@register("blank_fill_export", f"SELECT {_blank_sql()} FROM ({MARGIN_SQL}) m")
+def blank_fill_export_q(spark: SparkSession, d: str) -> DataFrame:
+    return blank_fill(margin_base_frame(Tables(spark, d)), MONEY_COLUMNS)
