@@ -39,14 +39,21 @@ def status_pivot(
     """
     codes = sorted({c for _, c, _ in specs}, key=str)
     rows = df.filter(F.col(code_col).isin(*codes))
-    aggs = []
+    return rows.groupBy(key).agg(*pivot_columns(code_col, ts_col, specs, offset_minutes=offset_minutes))
+
+
+def pivot_columns(code_col: str, ts_col: str, specs: Sequence[tuple[str, object, str]], *,
+                  offset_minutes: int | None = None) -> list[Column]:
+    """The conditional aggregates of ``status_pivot``, to combine with other measures of the
+    same key in one aggregate."""
+    out = []
     for alias, code, fn in specs:
         picked = F.when(F.col(code_col) == F.lit(code), F.col(ts_col))
         agg = F.min(picked) if fn == "min" else F.max(picked)
         if offset_minutes:
             agg = local_time(agg, offset_minutes)
-        aggs.append(agg.alias(alias))
-    return rows.groupBy(key).agg(*aggs)
+        out.append(agg.alias(alias))
+    return out
 
 
 def sum_by(df: DataFrame, keys: Sequence[str], value: Column | str, alias: str) -> DataFrame:

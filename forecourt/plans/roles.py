@@ -122,8 +122,8 @@ LEAD_STATUS_SQL = (
 )
 
 
-def lead_status() -> Column:
-    t = F.col("event_type")
+def lead_status(t: Column | None = None) -> Column:
+    t = F.col("event_type") if t is None else t
     return (F.when(t == "signup", 0).when(t == "view", 1).when(t == "click", 4)
              .when(t == "error", 5).when(t == "purchase", 6))
 
@@ -133,12 +133,14 @@ BANK_STATUS_SQL = "CAST(FLOOR(value / 50) AS INTEGER)"
 BANK_ID_SQL = "CAST(FLOOR(value / 20) AS INTEGER)"
 
 
-def bank_status() -> Column:
-    return F.floor(F.col("value") / 50).cast("int")
+def bank_status(value: Column | None = None) -> Column:
+    value = F.col("value") if value is None else value
+    return F.floor(value / 50).cast("int")
 
 
-def bank_id() -> Column:
-    return F.floor(F.col("value") / 20).cast("int")
+def bank_id(value: Column | None = None) -> Column:
+    value = F.col("value") if value is None else value
+    return F.floor(value / 20).cast("int")
 
 
 # Lead-source dispatch on the activity type of the lead's latest event.
