@@ -38,6 +38,48 @@ def with_previous(df: DataFrame, partition: Sequence[str], order: Sequence[Colum
     return df
 
 
+def previous_in_range(df: DataFrame, partition: Sequence[str], order: Sequence[str],
+                      columns: Sequence[str], prefix: str = "prev_",
+                      num_partitions: int | None = None) -> DataFrame:
+    """``LAG(c) OVER (PARTITION BY p ORDER BY o ASC NULLS LAST)`` without one task per group.
+
+    A window sends every row of a group to one task, so a group holding a third of the rows is
+    sorted by one task. Here the rows are range-partitioned on (p, o): a big group spans many
+    range partitions. The predecessor is taken inside each (range partition, group) slice, and
+    only the first row of a range partition can have its predecessor outside it: that row is
+    patched from the last row of the nearest earlier non-empty range partition (one row per
+    partition, so the broadcast is bounded by the partition count, not by the data).
+    ``order`` must make the order total (end it with a unique id) for a deterministic result.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*partition, *order]
+    carried = list(dict.fromkeys([*partition, *columns]))
+    tagged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_last() for c in keys])
+                .withColumn("_rp", F.spark_partition_id()))
+
+    w = Window.partitionBy("_rp", *partition).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    local = tagged.withColumn("_rn", F.row_number().over(w))
+    for c in columns:
+        local = local.withColumn(prefix + c, F.lag(c).over(w))
+
+    # max(struct(isnull(k), k, ...)) is the last row in ASC NULLS LAST order.
+    sort_key = [x for c in keys for x in (F.col(c).isNull().alias(f"_n_{c}"), F.col(c).alias(f"_k_{c}"))]
+    last = tagged.groupBy("_rp").agg(
+        F.max(F.struct(*sort_key, *[F.col(c).alias(f"_c_{c}") for c in carried])).alias("_last"))
+    edge = last.select(F.col("_rp").alias("_edge_rp"),
+                       F.lag("_last").over(Window.orderBy("_rp")).alias("_edge"))
+
+    out = local.join(F.broadcast(edge), F.col("_rp") == F.col("_edge_rp"), "left")
+    same = F.col("_rn") == 1
+    for p in partition:
+        same = same & F.col(p).eqNullSafe(F.col("_edge")[f"_c_{p}"])
+    same = same & F.col("_edge").isNotNull()
+    for c in columns:
+        out = out.withColumn(prefix + c, F.when(same, F.col("_edge")[f"_c_{c}"]).otherwise(F.col(prefix + c)))
+    return out.drop("_rp", "_rn", "_edge_rp", "_edge")
+
+
 def repeat_deals(
     deals: DataFrame,
     lead: str,
@@ -48,6 +90,7 @@ def repeat_deals(
     previous_status: str,
     excluded: Sequence[str] = (),
     out: str = "id",
+    method: str = "range",
 ) -> DataFrame:
     """Ids of deals that were followed by another deal of the same lead in the same calendar
     month (month number only: October of two years matches) and whose status was
@@ -55,13 +98,17 @@ def repeat_deals(
 
     Excluded statuses are removed before the predecessor is taken. Ties in ``created`` are
     broken by the deal id so the predecessor is deterministic. Returns one column ``out`` with
-    the previous deal's id.
+    the previous deal's id. ``method="range"`` (default) is the skew-safe predecessor of
+    ``previous_in_range``; ``method="window"`` is the plain window.
     """
-    rows = deals
+    rows = deals.select(lead, created, deal_id, status)
     if excluded:
         rows = rows.filter(~F.col(status).isin(*excluded))
-    order = [F.col(created).asc_nulls_last(), F.col(deal_id).asc_nulls_last()]
-    rows = with_previous(rows, [lead], order, [status, deal_id, created])
+    if method == "window":
+        order = [F.col(created).asc_nulls_last(), F.col(deal_id).asc_nulls_last()]
+        rows = with_previous(rows, [lead], order, [status, deal_id, created])
+    else:
+        rows = previous_in_range(rows, [lead], [created, deal_id], [status, deal_id, created])
     hit = (F.col("prev_" + status) == F.lit(previous_status)) & (
         F.month(F.col("prev_" + created)) == F.month(F.col(created)))
     return rows.filter(hit).select(F.col("prev_" + deal_id).alias(out))

@@ -107,3 +107,26 @@ def test_decision_join_equals_case_over_full_domain(spark):
     cased = df.withColumn("loan_flow_status", rules.decision_case(F.col("lead"), F.col("bank"), F.col("deal")))
     assert joined.count() == len(domain)
     assert _multiset(joined) == _multiset(cased)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.integers(0, 5), st.sampled_from("abc")),
+                min_size=1, max_size=40),
+       st.integers(1, 5))
+def test_range_lag_equals_window_lag(spark, rows, parts):
+    # Few groups and many rows per group: most groups span several range partitions.
+    data = [(i, g, t, s) for i, (g, t, s) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, g long, t long, s string")
+    order = [F.col("t").asc_nulls_last(), F.col("id").asc_nulls_last()]
+    want = windows.with_previous(df, ["g"], order, ["s", "id"])
+    got = windows.previous_in_range(df, ["g"], ["t", "id"], ["s", "id"], num_partitions=parts)
+    cols = ["id", "g", "t", "s", "prev_s", "prev_id"]
+    assert _multiset(got.select(*cols)) == _multiset(want.select(*cols))
+
+
+def test_range_lag_splits_a_hot_group(spark):
+    df = spark.range(0, 2000).select(F.col("id"), F.lit(1).cast("long").alias("g"), (F.col("id") % 7).alias("t"))
+    got = windows.previous_in_range(df, ["g"], ["t", "id"], ["id"], num_partitions=8)
+    want = windows.with_previous(df, ["g"], [F.col("t"), F.col("id")], ["id"])
+    assert got.count() == 2000
+    assert _multiset(got.select("id", "prev_id")) == _multiset(want.select("id", "prev_id"))
