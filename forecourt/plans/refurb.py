@@ -20,12 +20,14 @@ grain. No step materialises job rows x advisors.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.functions.columns import scaled, sentinel_normalise
+from forecourt.functions.columns import (
+    full_name, local_floor, local_time, null_fallback, pattern_bucket, scaled, sentinel_normalise,
+)
 from forecourt.operators.windows import dense_rank_first
 
 # Allowed categories, the sentinel, its replacement and the cost factor.
@@ -77,3 +79,51 @@ def refurb_cost(
         value = value.cast(out_type)
     return total.select("sell_lead_id", F.col("registration_no").alias("reg_no"),
                         value.alias("actual_refurb_cost"))
+
+
+def refurb_inputs_from_tables(
+    tables: Mapping[str, DataFrame],
+    city_rules: Sequence[tuple[str, str]],
+    *,
+    created_floor: str = "2021-01-01",
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Build the three inputs of ``refurb_cost`` from the workshop tables (FIXTURES.md §1 names).
+
+    Joins that feed no output column and cannot change the row count (unique-key lookups of
+    tax codes, fixes, bay types, trading customers, inspectors, photo counts, and the job card
+    whose only effect after the invoice-time filter is to add rows without an invoice) are left
+    out. ``city_rules`` buckets the vehicle workshop name into a city (first match wins,
+    default 'Others').
+    """
+    inv = tables["invoice"]
+    invoices = (inv.filter(local_floor("created_at", created_floor))
+                .select(F.col("id").alias("invoice_id"), "invoice_no", "job_card_id", "car_id",
+                        "refurb_car_id", "vendor_id", local_time("created_at").alias("invoice_created_at"),
+                        "in_date", "out_date"))
+    vendor = tables["workshop"].select(F.col("id").alias("_vendor"), F.col("name").alias("invoice_workshop_name"))
+    meta = tables["invoice_meta"].select(F.col("invoice_id").alias("_meta_invoice"),
+                                         F.col("refurb_category").alias("_invoice_category"))
+    car = tables["car"].select(F.col("id").alias("_car"), F.col("object_id").alias("sell_lead_id"), "registration_no")
+    rcar = tables["refurb_car"].select(F.col("id").alias("_rcar"), F.col("refurb_category").alias("_car_category"),
+                                       F.col("workshop_id").alias("_rcar_workshop"))
+    city = tables["workshop"].select(F.col("id").alias("_city_ws"),
+                                     pattern_bucket("name", city_rules, "Others").alias("car_city"))
+    invoices = (invoices
+                .join(vendor, F.col("_vendor") == F.col("vendor_id"), "left")
+                .join(meta, F.col("_meta_invoice") == F.col("invoice_id"), "left")
+                .join(car, F.col("_car") == F.col("car_id"), "left")
+                .join(rcar, F.col("_rcar") == F.col("refurb_car_id"), "left")
+                .join(city, F.col("_city_ws") == F.col("_rcar_workshop"), "left")
+                .filter(F.col("invoice_workshop_name").isNotNull())
+                .select("invoice_id", "invoice_no", "job_card_id", "invoice_workshop_name", "sell_lead_id",
+                        "registration_no", "car_city", "invoice_created_at",
+                        null_fallback("_car_category", "_invoice_category").alias("refurb_category"),
+                        "in_date", "out_date"))
+    rows = tables["job_row"]
+    line_costs = rows.select("invoice_id",
+                             (F.col("part_count") * F.col("part_cost") + F.col("labour_cost")).alias("line_cost"))
+    users = tables["refurb_user"].select(F.col("id").alias("_user"),
+                                         full_name("first_name", "last_name", lower=True).alias("advisor_name"))
+    advisors = (tables["job_card_user"].join(users, F.col("_user") == F.col("user_id"), "left")
+                .select("job_card_id", "advisor_name"))
+    return invoices, line_costs, advisors

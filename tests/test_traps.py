@@ -198,3 +198,40 @@ def test_d11_like_is_case_sensitive(spark):
     df = spark.createDataFrame([("via direct link",), ("Direct",)], "url string")
     got = [r.b for r in df.select(C.pattern_bucket("url", [("%Direct%", "Direct")], passthrough=True).alias("b")).collect()]
     assert got == ["via direct link", "Direct"]
+
+
+def test_refurb_on_workshop_tables(spark):
+    from forecourt.plans.refurb import refurb_inputs_from_tables
+
+    ts = dt.datetime(2021, 3, 1, 8, 0)
+    early = dt.datetime(2020, 12, 31, 12, 0)
+    t = {
+        "invoice": spark.createDataFrame(
+            [(1, 11, 100, 500, 3, "INV-1", ts, ts, None), (2, 12, 101, 501, 3, "INV-2", ts, ts, None),
+             (3, 13, 100, 500, 3, "INV-3", early, early, None), (4, 14, 102, 502, 4, "INV-4", ts, ts, None)],
+            "id long, job_card_id long, car_id long, refurb_car_id long, vendor_id long, invoice_no string, "
+            "created_at timestamp_ntz, in_date timestamp_ntz, out_date timestamp_ntz"),
+        "workshop": spark.createDataFrame([(3, "Main Workshop North"), (4, None), (9, "East yard")],
+                                          "id long, name string"),
+        "invoice_meta": spark.createDataFrame([(1, None), (2, "PRE_SALE")], "invoice_id long, refurb_category string"),
+        "car": spark.createDataFrame([(100, 7, "REG7"), (101, 8, "REG8"), (102, 9, "REG9")],
+                                     "id long, object_id long, registration_no string"),
+        "refurb_car": spark.createDataFrame([(500, 9, "N_A"), (501, 9, None), (502, 9, "REFURB")],
+                                            "id long, workshop_id long, refurb_category string"),
+        "job_row": spark.createDataFrame(
+            [(1, 2, Decimal("10.00"), Decimal("5.00")), (1, 1, Decimal("3.00"), None),
+             (2, 1, Decimal("100.00"), Decimal("0.00")), (3, 1, Decimal("1.00"), Decimal("1.00")),
+             (4, 1, Decimal("50.00"), Decimal("0.00"))],
+            T.StructType([T.StructField("invoice_id", T.LongType()), T.StructField("part_count", T.IntegerType()),
+                          T.StructField("part_cost", MONEY), T.StructField("labour_cost", MONEY)])),
+        "refurb_user": spark.createDataFrame([(1, "Asha", "Rao"), (2, None, "Khan")],
+                                             "id long, first_name string, last_name string"),
+        "job_card_user": spark.createDataFrame([(11, 1), (11, 2), (12, 2)], "job_card_id long, user_id long"),
+    }
+    inv, lines, adv = refurb_inputs_from_tables(t, [("%East%", "East")])
+    got = {(r.sell_lead_id, r.reg_no): r.actual_refurb_cost for r in refurb_cost(inv, lines, adv).collect()}
+    # invoice 1: lines 2*10+5 = 25 (the null-labour row adds nothing), first advisor 'asha rao'
+    # (null name sorts last), category N_A -> REFURB; invoice 2: fallback category PRE_SALE,
+    # one advisor with a null name, cost 100; invoice 3 is before the floor; invoice 4 has a
+    # workshop with a null name and is dropped.
+    assert got == {(7, "REG7"): Decimal("0.82") * Decimal("25.00"), (8, "REG8"): Decimal("0.82") * Decimal("100.00")}
