@@ -2,8 +2,9 @@
 
 deal = orders, buy lead = sell lead = customer, job row / receivable / token payment = lineitem,
 advisor = supplier, city / hub / bank = nation and region, activity log (loan log, visits,
-listings, price values, source objects) = events. Every role column is defined twice, as a
-Spark Column and as SQL text for the independent oracle, side by side so the two cannot drift.
+listings, price values, source objects) = events. Role columns are written once, as SQL
+expression text: Spark parses it into a Column (``F.expr``) and the independent oracle runs the
+same text, so the two cannot drift.
 """
 
 from __future__ import annotations
@@ -25,13 +26,7 @@ DEAL_DESC_SQL = (
 
 
 def deal_desc() -> Column:
-    st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
-    return (F.when((st == "F") & (pr == "5-LOW"), "Car Returned")
-             .when(st == "F", "Delivery Done")
-             .when((st == "O") & (pr == "1-URGENT"), "Deal Cancelled")
-             .when(st == "O", "Token Collected")
-             .when(pr == "5-LOW", "deal expired")
-             .otherwise("deal requested"))
+    return F.expr(DEAL_DESC_SQL)
 
 
 DEAL_STATUS_LABEL_SQL = (
@@ -49,12 +44,11 @@ SELF_LOAN_SQL = "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END"
 
 
 def loan_facilitation() -> Column:
-    pr = F.col("o_orderpriority")
-    return F.when(pr.isin("1-URGENT", "2-HIGH"), 1).when(pr == "5-LOW", 2).otherwise(0)
+    return F.expr(LOAN_FACILITATION_SQL)
 
 
 def self_loan() -> Column:
-    return F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)
+    return F.expr(SELF_LOAN_SQL)
 
 
 # The buy-lead category filter (`category = <segment>` in the source) on customer segments.
@@ -62,7 +56,7 @@ LEAD_SEGMENT_SQL = "c_mktsegment <> 'HOUSEHOLD'"
 
 
 def lead_segment_ok() -> Column:
-    return F.col("c_mktsegment") != "HOUSEHOLD"
+    return F.expr(LEAD_SEGMENT_SQL)
 
 
 # Job-row costs: count x unit cost + labour; labour is null when the tax rate is 0, and then
@@ -88,7 +82,7 @@ ADVISOR_FIRST_SQL = "CASE WHEN s_acctbal < 0 THEN NULL ELSE n_name END"
 
 
 def advisor_first() -> Column:
-    return F.when(F.col("s_acctbal") < 0, F.lit(None).cast("string")).otherwise(F.col("n_name"))
+    return F.expr(ADVISOR_FIRST_SQL)
 
 
 # Vehicle city buckets over the customer's region (first match wins, else 'Others').
@@ -105,14 +99,11 @@ INVOICE_CATEGORY_SQL = "CASE o_orderstatus WHEN 'F' THEN 'PRE_SALE_REWORK' WHEN
 
 
 def car_category() -> Column:
-    pr = F.col("o_orderpriority")
-    return (F.when(pr == "1-URGENT", "PRE_SALE").when(pr == "2-HIGH", "REFURB")
-             .when(pr == "3-MEDIUM", "N_A").when(pr == "5-LOW", "WARRANTY"))
+    return F.expr(CAR_CATEGORY_SQL)
 
 
 def invoice_category() -> Column:
-    st = F.col("o_orderstatus")
-    return F.when(st == "F", "PRE_SALE_REWORK").when(st == "P", "BODY_SHOP")
+    return F.expr(INVOICE_CATEGORY_SQL)
 
 
 # Loan application lead status from the activity type.

@@ -26,12 +26,19 @@ def read_table(
 
 
 class Tables:
-    """Lazy, cached-by-name access to the parquet tables of one folder."""
+    """Lazy, cached-by-name access to the parquet tables of one folder.
+
+    Frames are shared by every ``Tables`` of the same session and folder, so the file listing
+    and footer schema of a table are resolved once per process, not once per query.
+    """
+
+    _shared: dict[tuple[int, str, str], dict[str, DataFrame]] = {}
 
     def __init__(self, spark: SparkSession, base_dir: str):
         self.spark = spark
         self.base_dir = base_dir
-        self._frames: dict[str, DataFrame] = {}
+        key = (id(spark), spark.sparkContext.applicationId, base_dir)
+        self._frames = Tables._shared.setdefault(key, {})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
