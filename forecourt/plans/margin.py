@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.operators.joins import merge_null_safe
-from forecourt.plans.deals import DEAL_MASTER_COLUMNS, DEAL_MASTER_SQL, deal_master_frame
+from forecourt.plans.deals import DEAL_MASTER_COLUMNS, DEAL_MASTER_SQL, deal_master_shared
 from forecourt.plans.refurb import refurb_cost
 from forecourt.plans.refurb_testdata import REFURB_SQL, refurb_inputs
 from forecourt.plans.registry import register
@@ -28,12 +28,14 @@ def margin_base_frame(t: Tables) -> DataFrame:
     """Deal master + refurb cost on the sell lead, null keys matching null keys; a vehicle with
     several registrations repeats the deal row. The registration column is dropped and the
     listing date becomes a timestamp (as the export expects)."""
-    deals = deal_master_frame(t)
-    invoices, line_costs, advisors = refurb_inputs(t)
-    cost = refurb_cost(invoices, line_costs, advisors, out_type="double")
-    merged = merge_null_safe(deals, cost, "sell_lead_id").drop("reg_no")
-    merged = merged.withColumn("car_live_date", F.col("car_live_date").cast("timestamp_ntz"))
-    return merged.select(*MARGIN_COLUMNS)
+    def build() -> DataFrame:
+        deals = deal_master_shared(t)
+        invoices, line_costs, advisors = refurb_inputs(t)
+        cost = refurb_cost(invoices, line_costs, advisors, out_type="double")
+        merged = merge_null_safe(deals, cost, "sell_lead_id").drop("reg_no")
+        merged = merged.withColumn("car_live_date", F.col("car_live_date").cast("timestamp_ntz"))
+        return merged.select(*MARGIN_COLUMNS)
+    return t.memo("margin_base", build)
 
 
 def _select_list(prefix: str, cast_live: bool = True) -> str:

@@ -49,16 +49,18 @@ def refurb_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
                 .join(car, F.col("car_id") == F.col("sell_lead_id"), "left")
                 .filter(F.col("invoice_workshop_name").isNotNull())
                 .drop("car_id"))
+    # One partial aggregate of the lines per (order, supplier) feeds both the per-invoice cost
+    # (re-summed inside refurb_cost; a sum of sums is the same sum) and the job-card users
+    # (the distinct (order, supplier) pairs), so the line table is read and shuffled once.
     lc = roles.line_cost_columns()
-    line_costs = t.lineitem.select(
-        F.col("l_orderkey").alias("invoice_id"),
-        (lc["part_count"] * lc["part_cost"] + lc["labour_cost"]).alias("line_cost"))
+    per_pair = t.lineitem.groupBy(F.col("l_orderkey").alias("invoice_id"), F.col("l_suppkey").alias("user_id")).agg(
+        F.sum(lc["part_count"] * lc["part_cost"] + lc["labour_cost"]).alias("line_cost"))
+    line_costs = per_pair.select("invoice_id", "line_cost")
     users = (t.supplier.join(g, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-             .select(F.col("s_suppkey").alias("user_id"),
+             .select(F.col("s_suppkey").alias("_user"),
                      full_name(roles.advisor_first(), "r_name", lower=True).alias("advisor_name")))
-    advisors = (t.lineitem.select(F.col("l_orderkey").alias("job_card_id"), F.col("l_suppkey").alias("user_id"))
-                .distinct()
-                .join(users, "user_id", "left")
+    advisors = (per_pair.select(F.col("invoice_id").alias("job_card_id"), "user_id")
+                .join(users, F.col("_user") == F.col("user_id"), "left")
                 .select("job_card_id", "advisor_name"))
     return invoices, line_costs, advisors
 

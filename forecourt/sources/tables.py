@@ -45,6 +45,14 @@ class Tables:
             self._frames[name] = read_table(self.spark, self.base_dir, name)
         return self._frames[name]
 
+    def memo(self, name: str, build) -> DataFrame:
+        """Build a derived (lazy) DataFrame once per session and folder. Only the plan object
+        is shared; every action on it still executes the plan in full."""
+        key = f"memo:{name}"
+        if key not in self._frames:
+            self._frames[key] = build()
+        return self._frames[key]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
