@@ -49,3 +49,39 @@ def test_merge_reads_each_side_once(spark):
     # orders is the left side; the right side is two branches of customer (a union).
     plan = _plan(QUERIES["merge_null_safe"](spark, SF))
     assert plan.count("orders.parquet") == 1 and plan.count("customer.parquet") == 2
+
+
+def test_rank_first_has_no_window(spark):
+    plan = _plan(QUERIES["ranked_dedup_rollup"](spark, SF))
+    assert "Window" not in plan and "LeftSemi" in plan
+
+
+def test_latest_per_key_is_one_aggregate(spark):
+    plan = _plan(QUERIES["latest_by_join_back"](spark, SF))
+    # partial max on the map side: a hot key is reduced before the shuffle
+    assert "Join" not in plan and "Window" not in plan and "partial_max(struct(" in plan
+
+
+def test_repeat_deal_predecessor_is_range_partitioned(spark):
+    plan = _plan(QUERIES["repeat_deal_lag"](spark, SF))
+    assert "rangepartitioning" in plan
+    # the window runs per (range partition, lead) slice, never per lead alone
+    assert "hashpartitioning(_rp" in plan
+
+
+def test_null_safe_merge_is_one_equi_join(spark):
+    plan = _plan(QUERIES["merge_null_safe"](spark, SF))
+    # the only union is the one building the right-hand input; the merge itself is one join
+    assert plan.count("Union") == 1 and "NestedLoop" not in plan and "CartesianProduct" not in plan
+    assert "_m_salt" in plan
+
+
+def test_fanout_sum_joins_aggregates_not_rows(spark):
+    # the amounts and the fan-out side are both aggregated before they meet
+    plan = _plan(QUERIES["fanout_sum"](spark, SF))
+    assert plan.count("HashAggregate") >= 6
+
+
+def test_user_activity_read_once_in_loan_status(spark):
+    plan = _plan(QUERIES["loan_status"](spark, SF))
+    assert plan.count("events.parquet") == 1
