@@ -1,3 +1,3 @@
-from forecourt.sinks.publish import blank_fill, publish_snapshot, trailing_window
+from forecourt.sinks.publish import blank_fill, publish_margin, publish_snapshot, trailing_window
 
-__all__ = ["blank_fill", "publish_snapshot", "trailing_window"]
+__all__ = ["blank_fill", "publish_margin", "publish_snapshot", "trailing_window"]

@@ -60,3 +60,33 @@ def blank_fill(df: DataFrame, money_scale: Mapping[str, int] | None = None) -> D
     """
     money_scale = money_scale or {}
     return df.select(*[_as_text(f, money_scale) for f in df.schema.fields])
+
+
+def publish_margin(
+    margin: DataFrame,
+    refurb: DataFrame,
+    *,
+    full_targets: Sequence[str],
+    trailing_target: str | None,
+    refurb_target: str | None,
+    as_of: dt.datetime,
+    days: int = 90,
+    fmt: str = "parquet",
+) -> dict[str, list[str]]:
+    """The whole publication step: the margin base to every full target, the delivered deals
+    of the trailing window to one target, the refurb cost to one target.
+
+    The margin plan runs once (first full target); the other full targets and the trailing
+    subset are derived from that written table, filtering on its typed date column.
+    """
+    written = publish_snapshot(margin, full_targets, fmt)
+    out = {"full": written, "trailing": [], "refurb": []}
+    if trailing_target and written:
+        base = margin.sparkSession.read.format(fmt).load(written[0])
+        trailing = trailing_window(base, "delivery_time", as_of, days, status_col="deal_status", status="Delivered")
+        trailing.write.mode("overwrite").format(fmt).save(trailing_target)
+        out["trailing"] = [trailing_target]
+    if refurb_target:
+        refurb.write.mode("overwrite").format(fmt).save(refurb_target)
+        out["refurb"] = [refurb_target]
+    return out
