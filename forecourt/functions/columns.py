@@ -54,7 +54,13 @@ def local_floor(
     elif not isinstance(floor, dt.datetime):
         floor = dt.datetime(floor.year, floor.month, floor.day)
     cutoff = floor - dt.timedelta(minutes=offset_minutes)
-    return _col(ts) >= F.lit(cutoff).cast("timestamp_ntz")
+    return _col(ts) >= ntz_literal(cutoff)
+
+
+def ntz_literal(value: dt.datetime) -> Column:
+    """A zone-less timestamp constant. Built from text, so neither the driver's nor the
+    session's time zone can shift it (a Python datetime literal is read as local time)."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def utc_floor(ts: ColumnOrName, floor: str | dt.date | dt.datetime) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forecourt.functions.columns import ntz_literal
+
 
 def publish_snapshot(df: DataFrame, targets: Sequence[str], fmt: str = "parquet") -> list[str]:
     """Overwrite every target with ``df``.
@@ -39,7 +41,7 @@ def trailing_window(df: DataFrame, ts_col: str, as_of: dt.datetime, days: int =
     ``as_of`` is a parameter (the run time in the source), so the result is reproducible.
     Null dates never pass.
     """
-    cutoff = F.lit(as_of - dt.timedelta(days=days)).cast("timestamp_ntz")
+    cutoff = ntz_literal(as_of - dt.timedelta(days=days))
     cond = F.col(ts_col).cast("timestamp_ntz") >= cutoff
     if status_col is not None:
         cond = (F.col(status_col) == F.lit(status)) & cond

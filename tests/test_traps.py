@@ -235,3 +235,15 @@ def test_refurb_on_workshop_tables(spark):
     # one advisor with a null name, cost 100; invoice 3 is before the floor; invoice 4 has a
     # workshop with a null name and is dropped.
     assert got == {(7, "REG7"): Decimal("0.82") * Decimal("25.00"), (8, "REG8"): Decimal("0.82") * Decimal("100.00")}
+
+
+def test_time_literals_ignore_session_zone(spark):
+    # A Python datetime literal would be read in the driver's zone; the text form is not.
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.createDataFrame([("2021-09-30 18:29:59",), ("2021-09-30 18:30:00",)], "s string").select(
+            F.col("s").cast("timestamp_ntz").alias("ts"))
+        assert df.filter(C.local_floor("ts", "2021-10-01")).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
