@@ -85,3 +85,19 @@ def test_fanout_sum_joins_aggregates_not_rows(spark):
 def test_user_activity_read_once_in_loan_status(spark):
     plan = _plan(QUERIES["loan_status"](spark, SF))
     assert plan.count("events.parquet") == 1
+
+
+@pytest.mark.parametrize("key", ["wide_groupby", "deal_master"])
+def test_wide_group_by_reuses_the_join_partitioning(spark, key):
+    # With broadcasts off (the large-data case) the GROUP BY over many keys sits directly on
+    # the sort-merge join by the deal key: no extra shuffle for the wide key list.
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES[key](spark, SF) if key != "deal_master" else QUERIES[key](spark, SF).select("*")
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        head = final[:final.index("SortMergeJoin")]
+        assert "HashAggregate" in head and "Exchange" not in head
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
