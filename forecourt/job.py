@@ -21,7 +21,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 
 from forecourt.session import build_session, shared_dir
-from forecourt.sinks.publish import publish_margin
+from forecourt.sinks.publish import committed_table, publish_margin
 
 WORKSHOP_TABLES = ("invoice", "workshop", "invoice_meta", "car", "refurb_car", "job_row", "refurb_user",
                    "job_card_user")
@@ -61,9 +61,13 @@ def products_warehouse_layout(spark: SparkSession, data: str, rules: dict) -> tu
 
 
 def run(spark: SparkSession, layout: str, data: str, out: str | None, copies: int, as_of: dt.datetime,
-        rules: dict | None = None) -> dict[str, list[str]]:
+        rules: dict | None = None, run_id: str | None = None) -> dict[str, list[str]]:
     """Refurb cost is written first; the margin base merges the deal master with that written
-    table, so the refurb plan runs once and the margin lineage starts at a committed table."""
+    table, so the refurb plan runs once and the margin lineage starts at a committed table.
+
+    With ``run_id`` both products are staged under ``<spark.checkpoint.dir>/staging/<run_id>``:
+    rerunning the same run id after a driver failure reuses whatever was already committed.
+    """
     from forecourt.plans.deal_master_tables import margin_base_from_tables
 
     if layout == "test":
@@ -71,12 +75,20 @@ def run(spark: SparkSession, layout: str, data: str, out: str | None, copies: in
     else:
         deals, refurb = products_warehouse_layout(spark, data, rules or {})
     base = out or shared_dir(spark, "published")
+    stage = shared_dir(spark, f"staging/{run_id}") if run_id else None
     refurb_target = f"{base}/refurb_cost"
-    refurb.write.mode("overwrite").parquet(refurb_target)
-    margin = margin_base_from_tables(deals, spark.read.parquet(refurb_target))
+    refurb_table = committed_table(spark, f"{stage}/refurb_cost") if stage else None
+    if refurb_table is None:
+        refurb_path = f"{stage}/refurb_cost" if stage else refurb_target
+        refurb.write.mode("overwrite").parquet(refurb_path)
+        refurb_table = spark.read.parquet(refurb_path)
+    if stage:
+        refurb_table.write.mode("overwrite").parquet(refurb_target)
+    margin = margin_base_from_tables(deals, refurb_table)
     written = publish_margin(
         margin, refurb, full_targets=[f"{base}/margin_{i:02d}" for i in range(copies)],
-        trailing_target=f"{base}/margin_trailing", refurb_target=None, as_of=as_of)
+        trailing_target=f"{base}/margin_trailing", refurb_target=None, as_of=as_of,
+        staging=f"{stage}/margin_base" if stage else None)
     written["refurb"] = [refurb_target]
     return written
 
@@ -89,10 +101,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--copies", type=int, default=12)
     p.add_argument("--as-of", required=True, help="reference time of the trailing window (ISO format)")
     p.add_argument("--rules", help="JSON file with rules (warehouse layout)")
+    p.add_argument("--run-id", help="stage results under this id; rerunning it resumes")
     a = p.parse_args(argv)
     rules = json.load(open(a.rules)) if a.rules else None
     spark = build_session(app_name="forecourt-job")
-    written = run(spark, a.layout, a.data, a.out, a.copies, dt.datetime.fromisoformat(a.as_of), rules)
+    written = run(spark, a.layout, a.data, a.out, a.copies, dt.datetime.fromisoformat(a.as_of), rules, a.run_id)
     print(json.dumps(written))
 
 

@@ -9,27 +9,47 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from forecourt.functions.columns import ntz_literal
 
 
-def publish_snapshot(df: DataFrame, targets: Sequence[str], fmt: str = "parquet") -> list[str]:
-    """Overwrite every target with ``df``.
+def committed_table(spark, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path`` if a write to it has committed, else None. A failed write leaves
+    only hidden ``_temporary`` files, which readers ignore, so it reads as missing."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException:
+        return None
 
-    The plan runs once: the first target is written from ``df`` and the others are copied from
-    that written table, which also cuts the lineage (a lost executor re-reads files instead of
-    re-running the joins). Each write is a Spark job with its own commit, so a target is either
-    the old or the new snapshot, never a mix; targets are independent, like the sheets they
-    replace.
+
+def publish_snapshot(df: DataFrame, targets: Sequence[str], fmt: str = "parquet",
+                     staging: str | None = None) -> list[str]:
+    """Overwrite every target with ``df``; the plan runs once.
+
+    Without ``staging`` the first target is written from ``df`` and the others are copied from
+    that written table. With ``staging`` (a path in the shared folder, e.g. one per run id) the
+    plan is written there first and every target is a copy; a rerun with the same staging path
+    after a driver failure finds the committed table and only redoes the copies. Executor loss
+    is covered by task retries (every plan here is deterministic). An overwrite removes the old
+    files when its job starts, so a target whose copy fails is incomplete until the copy is
+    rerun, like the cleared sheets this replaces.
     """
     if not targets:
         return []
-    first, rest = targets[0], targets[1:]
-    df.write.mode("overwrite").format(fmt).save(first)
-    if rest:
-        written = df.sparkSession.read.format(fmt).load(first)
-        for target in rest:
-            written.write.mode("overwrite").format(fmt).save(target)
+    spark = df.sparkSession
+    if staging is None:
+        first, rest = targets[0], list(targets[1:])
+        df.write.mode("overwrite").format(fmt).save(first)
+        source = spark.read.format(fmt).load(first)
+    else:
+        rest = list(targets)
+        source = committed_table(spark, staging, fmt)
+        if source is None:
+            df.write.mode("overwrite").format(fmt).save(staging)
+            source = spark.read.format(fmt).load(staging)
+    for target in rest:
+        source.write.mode("overwrite").format(fmt).save(target)
     return list(targets)
 
 
@@ -74,6 +94,7 @@ def publish_margin(
     as_of: dt.datetime,
     days: int = 90,
     fmt: str = "parquet",
+    staging: str | None = None,
 ) -> dict[str, list[str]]:
     """The whole publication step: the margin base to every full target, the delivered deals
     of the trailing window to one target, the refurb cost to one target.
@@ -81,10 +102,10 @@ def publish_margin(
     The margin plan runs once (first full target); the other full targets and the trailing
     subset are derived from that written table, filtering on its typed date column.
     """
-    written = publish_snapshot(margin, full_targets, fmt)
+    written = publish_snapshot(margin, full_targets, fmt, staging=staging)
     out = {"full": written, "trailing": [], "refurb": []}
     if trailing_target and written:
-        base = margin.sparkSession.read.format(fmt).load(written[0])
+        base = margin.sparkSession.read.format(fmt).load(staging or written[0])
         trailing = trailing_window(base, "delivery_time", as_of, days, status_col="deal_status", status="Delivered")
         trailing.write.mode("overwrite").format(fmt).save(trailing_target)
         out["trailing"] = [trailing_target]

@@ -18,3 +18,15 @@ def test_job_publishes_all_targets(spark):
     assert all(spark.read.parquet(p).count() == n for p in written["full"])
     assert spark.read.parquet(written["trailing"][0]).count() == QUERIES["publish_trailing"](spark, SF).count()
     assert spark.read.parquet(written["refurb"][0]).count() == QUERIES["refurb_cost_per_vehicle"](spark, SF).count()
+
+
+def test_rerun_with_run_id_reuses_committed_stages(spark):
+    out = shared_dir(spark, "job-test-resume")
+    first = run(spark, "test", SF, out, copies=2, as_of=dt.datetime(2001, 8, 1), run_id="resume-check")
+    stage = shared_dir(spark, "staging/resume-check")
+    staged = spark.read.parquet(f"{stage}/margin_base")
+    n = staged.count()
+    # a second run with the same id copies from the committed stage instead of recomputing
+    second = run(spark, "test", SF, out, copies=2, as_of=dt.datetime(2001, 8, 1), run_id="resume-check")
+    assert first == second
+    assert all(spark.read.parquet(p).count() == n for p in second["full"])
