@@ -14,7 +14,7 @@ from forecourt.functions.columns import (
     relabel,
     scaled,
     sentinel_normalise,
-    string_build,
+    ntz_literal,
     three_way_label,
     two_flag_label,
     utc_floor,
@@ -38,7 +38,7 @@ __all__ = [
     "rules",
     "scaled",
     "sentinel_normalise",
-    "string_build",
+    "ntz_literal",
     "three_way_label",
     "two_flag_label",
     "utc_floor",

@@ -14,7 +14,6 @@ ColumnOrName = Column | str
 # The local clock is UTC + 5:30 (330 minutes), a fixed offset with no DST.
 LOCAL_OFFSET_MINUTES = 330
 MONEY = "decimal(18,2)"
-MONEY_SUM = "decimal(28,2)"
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -92,7 +91,7 @@ def pattern_bucket(
         return expr.otherwise(col)
     if default is None:
         return expr
-    return expr.otherwise(_lit(default) if not isinstance(default, str) else F.lit(default))
+    return expr.otherwise(_lit(default))
 
 
 def relabel(c: ColumnOrName, mapping: Mapping[str, str]) -> Column:
@@ -136,15 +135,6 @@ def sentinel_normalise(c: ColumnOrName, sentinels: Sequence[str], value: str) ->
     return F.when(col.isNull() | col.isin(*sentinels), F.lit(value)).otherwise(col)
 
 
-def string_build(*parts: ColumnOrName | str, literal_parts: Sequence[int] = ()) -> Column:
-    """``a || ' ' || b``: null anywhere gives null (``concat``, not ``concat_ws``).
-
-    Strings at the positions listed in ``literal_parts`` are literals, the rest column names.
-    """
-    cols = [F.lit(p) if i in literal_parts else _col(p) for i, p in enumerate(parts)]
-    return F.concat(*cols)
-
-
 def full_name(first: ColumnOrName, last: ColumnOrName, lower: bool = False) -> Column:
     a, b = _col(first), _col(last)
     if lower:

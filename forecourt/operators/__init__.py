@@ -17,7 +17,7 @@ from forecourt.operators.joins import (
     role,
 )
 from forecourt.operators.latest import latest_per_key, max_id_per_key, owner_by_max_id
-from forecourt.operators.windows import dense_rank_first, repeat_deals, with_previous
+from forecourt.operators.windows import dense_rank_first, previous_in_range, repeat_deals, with_previous
 
 __all__ = [
     "count_by",
@@ -35,6 +35,7 @@ __all__ = [
     "multi_measure",
     "owner_by_max_id",
     "polymorphic_lookup",
+    "previous_in_range",
     "repeat_deals",
     "role",
     "status_pivot",
