@@ -101,3 +101,32 @@ def test_wide_group_by_reuses_the_join_partitioning(spark, key):
         assert "HashAggregate" in head and "Exchange" not in head
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_hot_key_lookup_is_split_by_aqe(spark):
+    # A third of the lines point at one supplier. AQE splits a skewed partition along map-task
+    # boundaries, so the probe side gets several map tasks (real tables have many row groups;
+    # the test files have one).
+    from pyspark.sql import functions as F
+
+    from forecourt.operators import joins
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        lines = spark.read.parquet(f"{SF}/lineitem.parquet").repartition(6)
+        hot = lines.select("l_orderkey", "l_extendedprice",
+                           F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_suppkey")).alias("l_suppkey"))
+        sup = spark.read.parquet(f"{SF}/supplier.parquet").select("s_suppkey", "s_name")
+        df = joins.lookup(hot, sup, F.col("l_suppkey") == F.col("s_suppkey"))
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
