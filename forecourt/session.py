@@ -51,16 +51,17 @@ def shared_dir(spark: SparkSession, sub: str = "") -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting must point at storage every executor sees; it is read, never
-    overridden. Only when it is unset (local runs and tests) is a fresh folder created and
-    registered, so ``DataFrame.checkpoint()`` and snapshot targets land in one place.
+    overridden. Only when it is unset (local runs) is a fresh local folder registered as the
+    checkpoint directory, so ``DataFrame.checkpoint()`` and snapshot targets land in one place.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="forecourt-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if base:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(base)
+    else:
+        base = sc.getCheckpointDir()
+        if base is None:
+            base = tempfile.mkdtemp(prefix="forecourt-ckpt-")
+            sc.setCheckpointDir(base)
     return os.path.join(base, sub) if sub else base

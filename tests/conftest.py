@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,10 +10,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 @pytest.fixture(scope="session")
 def spark():
-    from forecourt.session import build_session
+    from forecourt.session import build_session, shared_dir
 
-    ckpt = tempfile.mkdtemp(prefix="forecourt-test-ckpt-")
-    s = build_session("local[4]", app_name="forecourt-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": ckpt})
+    s = build_session("local[4]", app_name="forecourt-tests", shuffle_partitions=4)
+    shared_dir(s)  # uses spark.checkpoint.dir when the environment names one, else a local folder
     yield s
     s.stop()
