@@ -13,11 +13,13 @@ def _plan(df) -> str:
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
-def test_no_cartesian_product(spark, key):
+def test_no_cartesian_product_and_no_python(spark, key):
     if key == "publish_snapshot":
         pytest.skip("writes files; its plan is the margin base plan")
     plan = _plan(QUERIES[key](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    # everything stays in the JVM: no Python UDF evaluation anywhere
+    assert "EvalPython" not in plan and "FlatMapGroupsInPandas" not in plan and "MapInPandas" not in plan
 
 
 def test_null_rejecting_filter_removes_full_outer(spark):
