@@ -213,25 +213,31 @@ def deal_master_from_tables(
         "rejected_date", "net_disbursed_amount", "loan_confirmation_date")
     sources = lead_sources_from_tables(tb, url_rules, source_labels, direct_label=direct_label)
 
+    # Joins are grouped by key so the wide deal stream is re-partitioned once per key
+    # (buy lead, contact, sell lead, profile, creator, deal) instead of once per join; small
+    # dimensions are broadcast by AQE when their measured size allows.
     rows = (cp.join(status, F.col("_st") == F.col("status_id"), "left")
               .join(bl, F.col("_bl") == F.col("buy_lead_id"), "left")
               .filter(C.utc_floor("created_time", created_floor) & (F.col("_bl_category") == category)
                       & ~F.col("description").isin(*rules.EXCLUDED_DEAL_STATUSES))
+              # buy-lead keyed
+              .join(iss, F.col("_iss_lead") == F.col("buy_lead_id"), "left")
+              .join(visits, F.col("_v_lead") == F.col("buy_lead_id"), "left")
+              .join(sources, F.col("_src_lead") == F.col("buy_lead_id"), "left")
+              .join(contact, F.col("_cd") == F.col("_bl_contact"), "left")
+              # sell-lead keyed (the listing belongs to the lead row, so it needs one)
               .join(lead, F.col("_l") == F.col("sell_lead_id"), "left")
+              .join(listing, (F.col("_ll_lead") == F.col("sell_lead_id")) & F.col("_l").isNotNull(), "left")
+              .join(procured, F.col("_pc_lead") == F.col("sell_lead_id"), "left")
+              .join(lpr, F.col("_lpr_lead") == F.col("sell_lead_id"), "left")
+              .join(insurance, F.col("_lrv_lead") == F.col("sell_lead_id"), "left")
               .join(profile, F.col("_lp") == F.col("_l_profile"), "left")
-              .join(listing, F.col("_ll_lead") == F.col("_l"), "left")
-              .join(names["hub"], F.col("_hub") == F.col("deal_hub_id"), "left")
               .join(names["make"], F.col("_make") == F.col("make_id"), "left")
               .join(names["model"], F.col("_model") == F.col("model_id"), "left")
               .join(names["variant"], F.col("_variant") == F.col("variant_id"), "left")
-              .join(iss, F.col("_iss_lead") == F.col("_bl"), "left")
-              .join(contact, F.col("_cd") == F.col("_bl_contact"), "left")
-              .join(visits, F.col("_v_lead") == F.col("buy_lead_id"), "left")
+              .join(names["hub"], F.col("_hub") == F.col("deal_hub_id"), "left")
               .join(hub_sales, F.col("_creator") == F.col("created_by_id"), "left")
-              .join(procured, F.col("_pc_lead") == F.col("sell_lead_id"), "left")
-              .join(lpr, F.col("_lpr_lead") == F.col("sell_lead_id"), "left")
-              .join(insurance, F.col("_lrv_lead") == F.col("sell_lead_id"), "left")
-              .join(sources, F.col("_src_lead") == F.col("_bl"), "left")
+              # deal keyed, last: the final GROUP BY contains the deal id
               .join(pp, F.col("_pp_deal") == F.col("id"), "left")
               .join(per_deal_receivable, F.col("_pr_deal") == F.col("id"), "left")
               .join(refund, F.col("_cpr_deal") == F.col("id"), "left")
