@@ -633,9 +633,9 @@ def latest_by_join_back_q(spark: SparkSession, d: str) -> DataFrame:
     e = Tables(spark, d).events
     cand = e.filter((F.col("event_type") == "purchase") & F.col("value").isNotNull()).select(
         "user_id", "event_id", "value")
-    # max(struct(id, value)) per key: same rows as the join back when ids are unique, with one
-    # partially aggregated shuffle instead of an aggregate plus a join.
-    top = latest.latest_per_key(cand, ["user_id"], "event_id", how="struct")
+    # max_by(value, id) per key: the same rows as the join back because event_id is the key of
+    # the log, with one partially aggregated (hash) shuffle instead of an aggregate plus a join.
+    top = latest.latest_per_key(cand, ["user_id"], "event_id", how="max_by")
     return top.select(F.col("user_id").alias("sell_lead_id"), F.col("value").alias("listing_price"))
 
 

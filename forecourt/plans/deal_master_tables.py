@@ -194,7 +194,7 @@ def deal_master_from_tables(
                                       & (F.col("target_object_type_id") == LISTING_PRICE_TARGET_TYPE)
                                       & F.col("created_by_id").isNotNull())
     lpr = _sel(latest.latest_per_key(prices.select("id", "target_object_id", "value"), ["target_object_id"], "id",
-                                     how="struct"), _lpr_lead="target_object_id", listing_price="value")
+                                     how="max_by"), _lpr_lead="target_object_id", listing_price="value")
     pay = (tb["payment_order"].filter(F.col("context_type_id") == DEAL_CONTEXT_TYPE)
            .join(tb["payment"], F.col("order_id") == tb["payment_order"]["id"], "left")
            .join(_sel(tb["payment_item"], _item="id", item_name="name"), F.col("_item") == F.col("item_id"), "left")

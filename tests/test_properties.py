@@ -31,8 +31,9 @@ def _multiset(df):
 @given(rows_strategy)
 def test_latest_per_key_spellings_agree(spark, rows):
     df = _events(spark, rows)
-    got = [_multiset(latest.latest_per_key(df, ["k"], "id", how=h)) for h in ("struct", "semi", "join_back")]
-    assert got[0] == got[1] == got[2]
+    got = [_multiset(latest.latest_per_key(df, ["k"], "id", how=h))
+           for h in ("struct", "semi", "join_back", "max_by")]
+    assert got[0] == got[1] == got[2] == got[3]
 
 
 @SETTINGS
