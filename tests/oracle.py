@@ -23,7 +23,8 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 6)
+        # exact: money is summed as decimals, so both engines produce the same double
+        return None if math.isnan(v) else v
     if isinstance(v, Decimal):
         return round(float(v), 6)
     if isinstance(v, dt.datetime):
