@@ -1,11 +1,9 @@
 from forecourt.operators.aggs import (
-    count_by,
     fanout_factor,
     fanout_sum,
     group_hidden_key,
     multi_measure,
     status_pivot,
-    sum_by,
 )
 from forecourt.operators.joins import (
     full_outer,
@@ -20,7 +18,6 @@ from forecourt.operators.latest import latest_per_key, max_id_per_key, owner_by_
 from forecourt.operators.windows import dense_rank_first, previous_in_range, repeat_deals, with_previous
 
 __all__ = [
-    "count_by",
     "dense_rank_first",
     "fanout_factor",
     "fanout_sum",
@@ -39,6 +36,5 @@ __all__ = [
     "repeat_deals",
     "role",
     "status_pivot",
-    "sum_by",
     "with_previous",
 ]

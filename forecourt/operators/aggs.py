@@ -56,15 +56,6 @@ def pivot_columns(code_col: str, ts_col: str, specs: Sequence[tuple[str, object,
     return out
 
 
-def sum_by(df: DataFrame, keys: Sequence[str], value: Column | str, alias: str) -> DataFrame:
-    col = F.col(value) if isinstance(value, str) else value
-    return df.groupBy(*keys).agg(F.sum(col).alias(alias))
-
-
-def count_by(df: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias))
-
-
 def fanout_factor(sides: Sequence[tuple[DataFrame, str]], key: str) -> tuple[DataFrame | None, Column]:
     """Row multiplicity a chain of ``LEFT JOIN side ON side.k = key`` adds per key.
 

@@ -5,7 +5,6 @@ from forecourt.sources.tables import (
     read_table,
     scan_project_rename,
     table_path,
-    typed_null,
 )
 
 __all__ = [
@@ -15,5 +14,4 @@ __all__ = [
     "read_table",
     "scan_project_rename",
     "table_path",
-    "typed_null",
 ]
