@@ -1,8 +1,8 @@
 """Aggregation operators.
 
-Every operator here is a hash aggregate (partial aggregation on the map side, then one
-shuffle of partial results), so a key that holds a large share of the rows is reduced before
-it moves. Sums over joins that multiply rows are computed from per-key aggregates and
+Every operator here aggregates with a map-side partial step and then one shuffle of partial
+results, so a key that holds a large share of the rows is reduced before it moves (with
+fixed-width buffers, as here, Spark plans them as hash aggregates). Sums over joins that multiply rows are computed from per-key aggregates and
 multiplicities, never by materialising the row pairs.
 """
 
