@@ -51,8 +51,8 @@ def shared_dir(spark: SparkSession, sub: str = "") -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting must point at storage every executor sees; it is read, never
-    overridden. Only when it is unset (local runs) is a fresh local folder registered as the
-    checkpoint directory, so ``DataFrame.checkpoint()`` and snapshot targets land in one place.
+    overridden. Only when it is unset and the master is local (local runs, tests) is a fresh
+    local folder registered as the checkpoint directory; on a cluster an unset value is an error.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -62,6 +62,9 @@ def shared_dir(spark: SparkSession, sub: str = "") -> str:
     else:
         base = sc.getCheckpointDir()
         if base is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir is not set: point it at storage every executor "
+                                   "can read and write (a machine-local folder does not work on a cluster)")
             base = tempfile.mkdtemp(prefix="forecourt-ckpt-")
             sc.setCheckpointDir(base)
     return os.path.join(base, sub) if sub else base
