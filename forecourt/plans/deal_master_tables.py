@@ -19,6 +19,7 @@ from forecourt.functions import columns as C
 from forecourt.functions import rules
 from forecourt.operators import aggs, joins, latest, windows
 from forecourt.operators.joins import merge_null_safe
+from forecourt.plans.contract import DEAL_MASTER_COLUMNS
 
 # Fixed values of the source workload (codes and labels that are not brand names).
 INSIDE_SALES_CONTEXT_TYPE = 188
@@ -36,16 +37,7 @@ PAPER_TRANSFER_COST, WARRANTY_COST = 4800, 1500
 BANK_LOG_SPECS = [("approved_date", 4, "max"), ("rejected_date_bank", 5, "min"), ("bank_login_date", 0, "max")]
 LOAN_LOG_SPECS = [("app_rejected_date", 3, "min"), ("app_login_date", 6, "max")]
 
-MASTER_COLUMNS = [
-    "deal_id", "deal_status", "sell_lead_id", "registration_no", "deal_hub", "make", "model",
-    "variant", "color", "make_year", "mileage", "fuel_type", "no_of_owners", "buy_lead_id",
-    "sub_sub_source_f", "buyer_name", "buyer_number", "inside_sales", "hub_sales",
-    "procurement_price", "listing_price", "sell_price", "paper_transfer_cost", "warranty_cost",
-    "insurance_validity_date", "payment_amount", "token_amount", "car_live_date", "token_date", "edd1",
-    "loan_interest", "loan_vendor", "loan_flow_status", "login_date", "approved_rejected_date",
-    "net_disbursed_amount", "self_loan_interest", "refund_status", "delivery_time",
-    "deal_cancellation_time", "cancellation_reason", "car_return_time", "car_return_reason",
-]
+MASTER_COLUMNS = DEAL_MASTER_COLUMNS
 
 
 def _sel(df: DataFrame, **cols: str) -> DataFrame:

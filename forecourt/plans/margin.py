@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.operators.joins import merge_null_safe
-from forecourt.plans.deals import DEAL_MASTER_COLUMNS, DEAL_MASTER_SQL, deal_master_shared
+from forecourt.plans.contract import DEAL_MASTER_COLUMNS, MARGIN_COLUMNS
+from forecourt.plans.deals import DEAL_MASTER_SQL, deal_master_shared
 from forecourt.plans.refurb import refurb_cost
 from forecourt.plans.refurb_testdata import REFURB_SQL, refurb_inputs
 from forecourt.plans.registry import register
@@ -17,7 +18,6 @@ from forecourt.session import shared_dir
 from forecourt.sinks.publish import blank_fill, publish_snapshot, trailing_window
 from forecourt.sources.tables import Tables
 
-MARGIN_COLUMNS = DEAL_MASTER_COLUMNS + ["actual_refurb_cost"]
 MONEY_COLUMNS = {"procurement_price": 2, "listing_price": 2, "sell_price": 2, "payment_amount": 2,
                  "token_amount": 2, "net_disbursed_amount": 2, "actual_refurb_cost": 6}
 TRAILING_AS_OF = dt.datetime(2001, 8, 1)
