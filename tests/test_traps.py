@@ -247,3 +247,11 @@ def test_time_literals_ignore_session_zone(spark):
         assert df.filter(C.local_floor("ts", "2021-10-01")).count() == 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_null_safe_merge_on_a_date_key(spark):
+    d = dt.date(2021, 1, 1)
+    left = spark.createDataFrame([(1, d), (2, None)], "id int, k date")
+    right = spark.createDataFrame([(d, "a"), (None, "n")], "k date, v string")
+    got = sorted((r.id, r.v) for r in joins.merge_null_safe(left, right, "k").collect())
+    assert got == [(1, "a"), (2, "n")]
