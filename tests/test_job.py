@@ -30,3 +30,55 @@ def test_rerun_with_run_id_reuses_committed_stages(spark):
     second = run(spark, "test", SF, out, copies=2, as_of=dt.datetime(2001, 8, 1), run_id="resume-check")
     assert first == second
     assert all(spark.read.parquet(p).count() == n for p in second["full"])
+
+
+def test_job_on_warehouse_layout(spark):
+    """The warehouse layout reads one parquet folder per logical table plus a rules dict."""
+    from decimal import Decimal
+
+    from test_deal_tables import SCHEMAS, _d, _deal
+
+    from forecourt.job import DEAL_TABLES, WORKSHOP_TABLES
+
+    ts = _d(2021, 10, 5)
+    workshop_schemas = {
+        "invoice": "id long, job_card_id long, car_id long, refurb_car_id long, vendor_id long, invoice_no string, "
+                   "created_at timestamp_ntz, in_date timestamp_ntz, out_date timestamp_ntz",
+        "workshop": "id long, name string",
+        "invoice_meta": "invoice_id long, refurb_category string",
+        "car": "id long, object_id long, registration_no string",
+        "refurb_car": "id long, workshop_id long, refurb_category string",
+        "job_row": "invoice_id long, part_count int, part_cost decimal(18,2), labour_cost decimal(18,2)",
+        "refurb_user": "id long, first_name string, last_name string",
+        "job_card_user": "job_card_id long, user_id long",
+    }
+    rows = {
+        "invoice": [(1, 11, 100, 500, 3, "INV-1", ts, ts, None)],
+        "workshop": [(3, "North Works")],
+        "car": [(100, 20, "REG20")],
+        "refurb_car": [(500, 3, "REFURB")],
+        "job_row": [(1, 2, Decimal("10.00"), Decimal("5.00"))],
+        "refurb_user": [(1, "Asha", "Rao")],
+        "job_card_user": [(11, 1)],
+        "status": [(1, "Delivery Done"), (2, "Token Collected")],
+        "deal": [_deal(1, 10, 20, 1, _d(2021, 10, 5)), _deal(2, 10, 21, 2, _d(2021, 10, 20))],
+        "buy_lead": [(10, "bcm", 100, 356, None)],
+        "contact": [(100, "Buyer", "99999")],
+        "content_type": [(356,)],
+        "lead": [(20, 200, "P"), (21, 201, "P")],
+    }
+    schemas = {**workshop_schemas, **SCHEMAS}
+    assert set(schemas) == set(WORKSHOP_TABLES + DEAL_TABLES)
+    data = shared_dir(spark, "warehouse-layout-test")
+    for name, schema in schemas.items():
+        spark.createDataFrame(rows.get(name, []), schema).write.mode("overwrite").parquet(f"{data}/{name}.parquet")
+    rules = {"category": "bcm", "city_rules": [["%North%", "North"]], "hub_rules": [], "url_rules": []}
+    out = shared_dir(spark, "warehouse-layout-out")
+    written = run(spark, "warehouse", data, out, copies=2, as_of=dt.datetime(2021, 12, 1), rules=rules)
+    margin = spark.read.parquet(written["full"][0])
+    got = {r.deal_id: (r.deal_status, r.sub_sub_source_f, r.actual_refurb_cost) for r in margin.collect()}
+    # deal 1 (previous delivered deal of the month) and 2 (latest of the month) are selected;
+    # vehicle 20 has refurb cost 0.82 * (2 * 10 + 5)
+    assert got == {1: ("Delivered", "Inbound", Decimal("0.82") * Decimal("25.00")),
+                   2: ("Pending", "Inbound", None)}
+    assert spark.read.parquet(written["refurb"][0]).count() == 1
