@@ -4,8 +4,9 @@
     python -m forecourt.job --layout warehouse --data /path/to/tables --rules rules.json --as-of 2022-03-31T10:00
 
 ``--layout test`` reads the driver's test tables and uses their role mapping;
-``--layout warehouse`` reads one parquet folder per logical table name of FIXTURES.md
-(``invoice``, ``deal``, ...) and a JSON file with the bucket rules and the buy-lead category:
+``--layout warehouse`` reads ``<data>/<name>.parquet`` for every logical table name of
+FIXTURES.md (``invoice``, ``deal``, ...) and a JSON file with the bucket rules and the buy-lead
+category:
 {"category": "...", "city_rules": [["%pattern%", "City"], ...], "hub_rules": [...],
  "url_rules": [...], "source_labels": [[187, "Label"], ...], "direct_label": "..."}.
 Targets go under ``--out`` (default: ``<spark.checkpoint.dir>/published``), which must be
