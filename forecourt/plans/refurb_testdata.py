@@ -8,6 +8,8 @@ job-card users = the distinct suppliers of the order's lines.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,10 +54,11 @@ def refurb_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     # One partial aggregate of the lines per (order, supplier) feeds both the per-invoice cost
     # (re-summed inside refurb_cost; a sum of sums is the same sum) and the job-card users
     # (the distinct (order, supplier) pairs), so the line table is read and shuffled once.
-    lc = roles.line_cost_columns()
+    # The sum runs on exact integer units (long arithmetic) and becomes a decimal once per pair.
     per_pair = t.lineitem.groupBy(F.col("l_orderkey").alias("invoice_id"), F.col("l_suppkey").alias("user_id")).agg(
-        F.sum(lc["part_count"] * lc["part_cost"] + lc["labour_cost"]).alias("line_cost"))
-    line_costs = per_pair.select("invoice_id", "line_cost")
+        F.sum(roles.line_cost_units()).alias("_units"))
+    unit = F.lit(Decimal(1).scaleb(-roles.UNIT_SCALE))
+    line_costs = per_pair.select("invoice_id", (F.col("_units").cast("decimal(38,0)") * unit).alias("line_cost"))
     users = (t.supplier.join(g, F.col("s_nationkey") == F.col("n_nationkey"), "left")
              .select(F.col("s_suppkey").alias("_user"),
                      full_name(roles.advisor_first(), "r_name", lower=True).alias("advisor_name")))

@@ -68,6 +68,18 @@ LINE_COST_SQL = {
 }
 
 
+def line_cost_units() -> Column:
+    """The same line cost as ``part_count * part_cost + labour_cost`` in exact integer units of
+    1/10000 (prices and tax rates carry two decimals), so the per-row hot path is long
+    arithmetic instead of decimal multiplication; null when the tax rate is 0, as above."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    tax_pct = F.round(F.nullif(F.col("l_tax"), F.lit(0.0)) * 100).cast("long")
+    return F.col("l_quantity").cast("long") * cents * 100 + cents * tax_pct
+
+
+UNIT_SCALE = 4
+
+
 def line_cost_columns() -> dict[str, Column]:
     return {
         "part_count": F.col("l_quantity").cast("int"),
