@@ -255,3 +255,18 @@ def test_null_safe_merge_on_a_date_key(spark):
     right = spark.createDataFrame([(d, "a"), (None, "n")], "k date, v string")
     got = sorted((r.id, r.v) for r in joins.merge_null_safe(left, right, "k").collect())
     assert got == [(1, "a"), (2, "n")]
+
+
+def test_line_cost_units_equal_decimal_cost(spark):
+    # the long-arithmetic line cost is the decimal line cost, exactly, on every line row
+    from decimal import Decimal as D
+
+    from forecourt.plans import roles
+
+    lines = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    lc = roles.line_cost_columns()
+    diff = lines.select(
+        (lc["part_count"] * lc["part_cost"] + lc["labour_cost"]).alias("dec"),
+        (roles.line_cost_units().cast("decimal(38,0)") * F.lit(D(1).scaleb(-roles.UNIT_SCALE))).alias("units"))
+    assert diff.filter(~F.col("dec").eqNullSafe(F.col("units"))).count() == 0
+    assert diff.filter(F.col("dec").isNull()).count() > 0   # tax rate 0 -> null row, both ways
