@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import topk, url_filter
+from forecourt.llm import quality_rules, topk, url_filter
 from forecourt.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,76 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def quality_rules_sql(docs: str = "documents") -> str:
+    """Words, lines and windows one row each, then the same sketches and fences in SQL."""
+    q = quality_rules
+    values = {m: f"{num} * {k} // n_words" for m, (num, k, _, _) in q.MEASURES.items()}
+    unpivot = " UNION ALL ".join(
+        f"SELECT lang, source, '{m}' AS measure, {v} AS v FROM counted WHERE NOT base_failed" for m, v in values.items())
+    chosen = {x: f"CASE WHEN a.support >= {q.MIN_SUPPORT} THEN a.{x} WHEN b.support >= {q.MIN_SUPPORT} THEN b.{x}"
+                 f" ELSE c.{x} END" for x in ("q25", "q75")}
+    spread = f"{q.SPREAD} * (q75 - q25)"
+    cols, fits = [], []
+    for m, (_, _, low, slack) in q.MEASURES.items():
+        cols.append(f"max(CASE WHEN measure = '{m}' THEN q75 + {spread} + {slack} END) AS hi_{m}")
+        fits.append(f"{values[m]} <= f.hi_{m}")
+        if low:
+            cols.append(f"max(CASE WHEN measure = '{m}' THEN q25 - {spread} - {slack} END) AS lo_{m}")
+            fits.append(f"{values[m]} >= f.lo_{m}")
+
+    def level(*by: str) -> str:
+        keys = ", ".join((*by, "measure"))
+        return f"""SELECT {keys}, max(support) AS support,
+          min(CASE WHEN 4 * below >= support THEN top END) AS q25,
+          min(CASE WHEN 4 * below >= 3 * support THEN top END) AS q75
+        FROM (SELECT {keys}, sum(n) OVER (PARTITION BY {keys}) AS support,
+                     sum(n) OVER (PARTITION BY {keys} ORDER BY bucket) AS below,
+                     CASE WHEN bucket < 64 THEN bucket ELSE ((bucket % 32 + 33) << CAST(bucket // 32 - 1 AS INT)) - 1 END AS top
+              FROM (SELECT {keys}, bucket, sum(n) AS n FROM sketch GROUP BY ALL))
+        GROUP BY ALL"""
+
+    return f"""
+WITH rows_ AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM {docs}
+), w AS (
+  SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM rows_
+), win AS (
+  SELECT rid, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) >= 3
+), rep AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, ws[i], ws[i + 1], ws[i + 2]) AS n FROM win)
+  WHERE n >= 2
+), cov AS (
+  SELECT rid, count(DISTINCT i + k) AS n FROM rep, (VALUES (0), (1), (2)) AS o(k) GROUP BY rid
+), base AS (
+  SELECT w.rid, doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(translate(t, '{q.SYMBOLS}', '')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN cov ON w.rid = cov.rid
+), counted AS (
+  SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM base
+), sketch AS (
+  SELECT lang, source, measure, CASE WHEN v < 32 THEN v ELSE (length(bin(v)) - 6) * 32 + (v >> CAST(length(bin(v)) - 6 AS INT)) END
+         AS bucket, count(*) AS n
+  FROM ({unpivot}) GROUP BY ALL
+), a AS ({level("lang", "source")}), b AS ({level("lang")}), c AS ({level()}), chosen AS (
+  SELECT a.lang, a.source, a.measure, {chosen["q25"]} AS q25, {chosen["q75"]} AS q75
+  FROM a JOIN b ON a.lang IS NOT DISTINCT FROM b.lang AND a.measure = b.measure JOIN c ON a.measure = c.measure
+), f AS (SELECT lang, source, {", ".join(cols)} FROM chosen GROUP BY lang, source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       CASE WHEN base_failed THEN false ELSE coalesce({" AND ".join(fits)}, true) END AS kept
+FROM counted LEFT JOIN f ON counted.lang IS NOT DISTINCT FROM f.lang AND counted.source IS NOT DISTINCT FROM f.source
+"""
+
+
+@query("op4_quality_rules", quality_rules_sql())
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(read_table(spark, sf_dir, "documents", ["doc_id", "lang", "source", "text"]))
+
+
 TOPK_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
