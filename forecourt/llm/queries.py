@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import quality_rules, topk, url_filter
+from forecourt.llm import quality_rules, token_files, topk, url_filter
 from forecourt.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +148,13 @@ FROM p LEFT JOIN f ON p.url = f.url AND f.k = 1
 @query("op6_url_filter", url_filter_sql())
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(read_table(spark, sf_dir, "pages")).drop("n_candidates")
+
+
+#: Vocabulary files, by name in the ``public_tokenizers`` package.
+WORD_VOCABULARY = "word_bpe_49k.json"
+
+
+@query("op7_token_files")
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return token_files.token_files(docs, public_tokenizers.path(WORD_VOCABULARY))
