@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,7 +71,7 @@ def byte_sized(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Ite
     for b in batches:
         if not b.num_rows:
             continue
-        size = np.asarray(pa.compute.binary_length(b.column(column).cast(pa.large_string())).fill_null(0))
+        size = np.asarray(pc.binary_length(b.column(column).cast(pa.large_string())).fill_null(0))
         group = np.cumsum(size) // most
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), b.num_rows]
         for lo, hi in zip(cuts, cuts[1:]):

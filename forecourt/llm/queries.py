@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import quality_rules, token_files, topk, url_filter
+from forecourt.llm import quality_rules, simhash, token_files, topk, url_filter
 from forecourt.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +158,8 @@ WORD_VOCABULARY = "word_bpe_49k.json"
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return token_files.token_files(docs, public_tokenizers.path(WORD_VOCABULARY))
+
+
+@query("op1_simhash")
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
