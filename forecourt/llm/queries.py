@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import quality_rules, simhash, token_files, topk, url_filter
+from forecourt.llm import quality_rules, simhash, substring, token_files, topk, url_filter
 from forecourt.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +163,8 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_simhash")
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@query("op2_substring")
+def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_report(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
