@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import quality_rules, simhash, substring, token_files, topk, url_filter
+from forecourt.llm import packing, quality_rules, simhash, substring, token_files, topk, url_filter
 from forecourt.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,6 +152,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Vocabulary files, by name in the ``public_tokenizers`` package.
 WORD_VOCABULARY = "word_bpe_49k.json"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
 
 
 @query("op7_token_files")
@@ -168,3 +169,9 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_substring")
 def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_report(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@query("op8_packing")
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return packing.pack_documents(docs, public_tokenizers.path(BYTE_VOCABULARY))
