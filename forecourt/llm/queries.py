@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import packing, quality_rules, simhash, substring, token_files, topk, url_filter
+from forecourt.llm import bpe, packing, quality_rules, simhash, substring, token_files, topk, url_filter
 from forecourt.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,6 +153,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Vocabulary files, by name in the ``public_tokenizers`` package.
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 @query("op7_token_files")
@@ -175,3 +176,9 @@ def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return packing.pack_documents(docs, public_tokenizers.path(BYTE_VOCABULARY))
+
+
+@query("op10_bpe")
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return bpe.bpe_digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
