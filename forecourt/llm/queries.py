@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import bpe, packing, quality_rules, simhash, substring, token_files, topk, url_filter
+from forecourt.llm import bpe, langid, packing, quality_rules, simhash, substring, token_files, topk, url_filter
 from forecourt.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +182,16 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return bpe.bpe_digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
+def fold(modulus: int) -> F.Column:
+    """crc32 of the id as text, modulo ``modulus``; null without an id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+@query("op3_langid")
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    found = langid.identify(docs, docs.where(fold(5) != 0))
+    held_out = F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "rejected", "cross_entropy")
