@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import bpe, langid, packing, quality_rules, simhash, substring, token_files, topk, url_filter
+from forecourt.llm import bpe, langid, packing, quality_model, quality_rules, simhash, substring, token_files, topk, url_filter
 from forecourt.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -195,3 +195,12 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.identify(docs, docs.where(fold(5) != 0))
     held_out = F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out")
     return found.select("doc_id", held_out, "lang_pred", "score", "rejected", "cross_entropy")
+
+
+@query("op9_quality_model")
+def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    labels = quality_model.quality_labels(read_table(spark, sf_dir, "labels", ["doc_id", "quality"]))
+    found = quality_model.classify(docs, labels, ["doc_id"])
+    held_out = F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "score", "predicted")
