@@ -147,15 +147,17 @@ def pack(rows: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     ranked = (salted.withColumn("inner", inner).join(base, ["length", "salt"])
               .withColumn("rank", (F.col("before") + F.col("inner") - 1).cast("long")).drop("salt", "inner", "before"))
 
+    columns = rows.columns
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 sequence, offset = slots.place(np.asarray(b.column("length")), np.asarray(b.column("rank")))
-                keep = b.select(rows.columns)
+                keep = b.select(columns)
                 yield keep.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
-    schema = rows.schema.add("sequence_id", "long").add("offset", "long")
-    return ranked.select(*rows.columns, "rank").mapInArrow(place, schema)
+    schema = rows.select("*").schema.add("sequence_id", "long").add("offset", "long")  # add() changes its schema
+    return ranked.select(*columns, "rank").mapInArrow(place, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS) -> DataFrame:
