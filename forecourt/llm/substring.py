@@ -18,9 +18,11 @@ is marked removed. What is left becomes a new level, and levels of like size mer
 there are logarithmically many. The family is dealt by prefix hash: each task holds the levels of
 its share of the prefixes.
 
-**Match ends.** Anchors whose prefix occurs with several contexts lie near the ends of matches. For
-the first place of each such context, the windows that the anchor stands for are themselves batches
-of a second family of the same kind, keyed by the whole ``LENGTH`` bytes.
+**Match ends.** Anchors whose prefix occurs with several contexts lie near the ends of matches. The
+first place of each such context is looked into twice more, with the same family: the windows that
+the anchor stands for, in groups of ``GROUP`` neighbours (key: the bytes that all windows of a group
+share; context: the bytes that any of them covers), and then the single windows of groups that
+still differ. Each round reads only the texts that have places to look into.
 
 **Frequent prefixes and passages.** A block passes on each context and each window once (its
 earliest place), and a prefix with many contexts in one block is dealt by context instead of by
@@ -54,6 +56,8 @@ ANCHOR = 36
 BATCH_BYTES = 16_000_000
 #: Text bytes hashed at a time (a longer document is hashed whole).
 HASH_BYTES = 1 << 19
+#: Windows of one group in the second round; divides the LENGTH - ANCHOR + 1 windows of an anchor.
+GROUP = 13
 #: Contexts of one prefix in one batch from which on they are dealt by context.
 MANY_CONTEXTS = 4
 
@@ -152,20 +156,32 @@ class Block:
         doc = np.searchsorted(self.offsets, a, "right") - 1
         lo = np.maximum(a - (LENGTH - ANCHOR), self.offsets[doc])
         hi = np.minimum(a + LENGTH, self.offsets[doc + 1])
-        shape = ((a - lo) << 8 | (hi - a)).astype(np.uint64)
-        context = mixed(mixed(self.hashes.ranges(0, lo, hi) + shape) ^ self.hashes.ranges(1, lo, hi))
+        context = self._cover(lo, hi, (a - lo) << 8 | (hi - a))
         return doc, a - self.offsets[doc], self.prefix[a] if len(a) else np.zeros(0, np.uint64), context
 
-    def windows(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, hash, second hash) of the windows for which one of the anchors has the lowest prefix."""
-        hit = np.zeros(len(self.low), bool)
-        for back in range(LENGTH - ANCHOR + 1):
+    def groups(self, anchors: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(first window, windows, shared bytes' hash, covered bytes' hash) of the groups of windows for
+        which one of the anchors has the lowest prefix."""
+        span = LENGTH - ANCHOR + 1
+        first, last = np.full(len(anchors), np.iinfo(np.int64).max), np.full(len(anchors), -1)
+        for back in range(span):
             at = anchors - back
-            inside = (at >= 0) & (at < len(self.low))
-            at, prefix = at[inside], self.prefix[anchors[inside]]
-            hit[at[self.low[at] == prefix]] = True
-        starts = np.flatnonzero(hit)
-        return starts, *(mixed(self.hashes.ranges(k, starts, starts + LENGTH)) for k in (0, 1))
+            own = (at >= 0) & (at < len(self.low))
+            own[own] = self.low[at[own]] == self.prefix[anchors[own]]
+            first[own] = np.minimum(first[own], at[own])
+            last[own] = np.maximum(last[own], at[own])
+        # nominal first windows; the shared bytes are the same wherever a group is cut
+        low = np.concatenate([anchors - (span - 1) + begin for begin in range(0, span, GROUP)])
+        times = span // GROUP
+        lo, hi = np.maximum(low, np.tile(first, times)), np.minimum(low + GROUP - 1, np.tile(last, times))
+        some = lo <= hi
+        # two anchors a multiple of GROUP apart with equal prefixes have groups in common
+        low, lo, hi = np.unique(np.stack([low[some], lo[some], hi[some]]), axis=1)
+        core = mixed(self.hashes.ranges(0, low + GROUP - 1, low + LENGTH))
+        return lo, hi - lo + 1, core, self._cover(lo, hi + LENGTH, (lo - low) << 8 | (hi - low))
+
+    def _cover(self, lo: np.ndarray, hi: np.ndarray, shape: np.ndarray) -> np.ndarray:
+        return mixed(mixed(self.hashes.ranges(0, lo, hi) + shape.astype(np.uint64)) ^ self.hashes.ranges(1, lo, hi))
 
 
 # --- the family ---------------------------------------------------------------------------------
@@ -188,18 +204,19 @@ def earliest(key: np.ndarray, check: np.ndarray, doc: np.ndarray, at: np.ndarray
 
 
 class Family:
-    """Levels of (key, check, doc, place, flag), each sorted by key with one entry for each (key, check).
+    """Levels of (key, check, doc, place, windows, flag), each sorted by key with one entry for each
+    (key, check).
 
-    ``add`` returns the (doc, place) of entries found not to be the first of their string."""
+    ``add`` returns the (doc, place, windows) of entries found not to be the first of their string."""
 
     def __init__(self):
         self.levels: list[list[np.ndarray]] = []
 
-    def add(self, key, check, doc, at, flag) -> list[tuple[np.ndarray, np.ndarray]]:
+    def add(self, key, check, doc, at, windows, flag) -> list[tuple[np.ndarray, ...]]:
         order, repeated = earliest(key, check, doc, at)
-        late = [(doc[order[repeated]], at[order[repeated]])]
+        late = [tuple(x[order[repeated]] for x in (doc, at, windows))]
         keep = order[~repeated]
-        batch = [x[keep] for x in (key, check, doc, at, flag)]
+        batch = [x[keep] for x in (key, check, doc, at, windows, flag)]
         for level in self.levels:  # merge-scan
             place = np.searchsorted(level[0], batch[0])
             place[place == len(level[0])] = 0
@@ -209,11 +226,10 @@ class Family:
             there, here = place[hit], np.flatnonzero(hit)
             earlier = (batch[2][here] < level[2][there]) | ((batch[2][here] == level[2][there])
                                                             & (batch[3][here] < level[3][there]))
-            late.append((np.where(earlier, level[2][there], batch[2][here]),
-                         np.where(earlier, level[3][there], batch[3][here])))
-            for column in (2, 3):
-                level[column][there[earlier]] = batch[column][here[earlier]]
-            level[4][there] |= batch[4][here]
+            late.append(tuple(np.where(earlier, level[c][there], batch[c][here]) for c in (2, 3, 4)))
+            for c in (2, 3, 4):
+                level[c][there[earlier]] = batch[c][here[earlier]]
+            level[5][there] |= batch[5][here]
             batch = [x[~hit] for x in batch]
         if len(batch[0]):
             self.levels.append(batch)
@@ -230,48 +246,64 @@ class Family:
     def whole(self) -> list[np.ndarray]:
         while len(self.levels) > 1:
             self._merge()
-        return self.levels[0] if self.levels else [np.zeros(0, t) for t in ("u8", "u8", "i8", "i4", "?")]
+        return self.levels[0] if self.levels else [np.zeros(0, t) for t in ("u8", "u8", "i8", "i4", "u1", "?")]
 
 
 # --- batches through the shuffle ----------------------------------------------------------------
 
-#: Kinds of places: an anchor whose context, or a window that, stands earlier too; an anchor to look up.
-CONTEXT, WINDOW, LOOK_UP = 0, 1, 2
+#: What a place (rid, at, kind) says. kind 0: the context of the anchor ``at`` stands earlier too; n > 0: so do
+#: the n windows from ``at`` on; -1: look into the anchor ``at``; -1 - n: into the n windows from ``at`` on.
+CONTEXT, ANCHOR_LOOK_UP = 0, -1
 BATCH = pa.schema([("part", pa.int32()), ("late", pa.bool_()), ("batch", pa.binary())])
 PLACE = pa.schema([("rid", pa.int64()), ("at", pa.int32()), ("kind", pa.int32())])
 
 
-def pack(columns: list[np.ndarray]) -> bytes:
-    """(doc, at) or (doc, at, key, check, flag) as one byte string."""
-    doc, at, *rest = columns
-    ids, index = np.unique(doc, return_inverse=True)
-    body = [np.array([len(doc), len(ids)], "<i8"), ids.astype("<i8"), index.astype("<u4"), at.astype("<i4")]
-    if rest:
-        body += [rest[0].astype("<u8"), rest[1].astype("<u8"), np.packbits(rest[2])]
-    return b"".join(x.tobytes() for x in body)
+def pack(doc, at, windows, key=None, check=None, flag=None) -> bytes:
+    """Late places or entries as one byte string, in document order. Ids are written once, other whole
+    numbers as differences in byte planes, most of which are zeros that the shuffle's codec removes."""
+    new = np.r_[True, doc[1:] != doc[:-1]]
+    step = np.diff(at, prepend=0)
+    step[new] = at[new]
+    step = step.astype("<u4").view("<u2").reshape(-1, 2)
+    body = [np.array([len(doc), int(new.sum())], "<i8"), doc[new].astype("<i8"), np.packbits(new),
+            step[:, 0], step[:, 1], windows.astype("u1")]
+    if key is not None:
+        body += [key.astype("<u8"), check.astype("<u8"), np.packbits(flag)]
+    return b"".join(np.ascontiguousarray(x).tobytes() for x in body)
 
 
-def unpack(row: bytes, entries: bool) -> list[np.ndarray]:
+def unpack(row, entries: bool) -> list[np.ndarray]:
+    """(doc, at, windows) or (key, check, doc, at, windows, flag)."""
     n, m = np.frombuffer(row, "<i8", 2).tolist()
-    at, out = 16, []
-    for kind, count in (("<i8", m), ("<u4", n), ("<i4", n), ("<u8", n), ("<u8", n), ("u1", (n + 7) // 8))[:6 if entries else 3]:
+    bits, at, out = (n + 7) // 8, 16, []
+    kinds = (("<i8", m), ("u1", bits), ("<u2", n), ("<u2", n), ("u1", n), ("<u8", n), ("<u8", n), ("u1", bits))
+    for kind, count in kinds[:8 if entries else 5]:
         out.append(np.frombuffer(row, kind, count, at))
         at += out[-1].nbytes
-    out = [out[0][out[1]], *out[2:]]
-    return [*out[:4], np.unpackbits(out[4], count=n).astype(bool)] if entries else out
-
-
-def deal(parts: int, key, check, doc, at, by_group: bool) -> pa.RecordBatch:
+    new = np.unpackbits(out[1], count=n).astype(bool)
+    step = out[2].astype(np.int64) | out[3].astype(np.int64) << 16
+    step = np.where(step >= 1 << 31, step - (1 << 32), step)
+    total = np.cumsum(step)
+    begins = np.flatnonzero(new)
+    which = np.cumsum(new) - 1
+    place = (total - (total - step)[begins][which]).astype(np.int32) if n else np.zeros(0, np.int32)
+    found = [out[0][which], place, out[4]]
+    return [out[5], out[6], *found, np.unpackbits(out[7], count=n).astype(bool)] if entries else found
+
+
+def deal(parts: int, key, check, doc, at, windows, by_group: bool) -> pa.RecordBatch:
     """A batch of entries as rows for the tasks that hold the levels.
 
     Only the earliest place of each (key, check) travels as an entry, the later ones as ``late``.
-    ``by_group``: entries go by ``check``, the prefix; but of a prefix with many contexts in this
-    batch just two, which tell its task so, and all others by their own key."""
+    ``by_group``: entries go by ``check``, the shared bytes; but of those with many contexts in this
+    batch just two, which tell their task so, and all others by their own key."""
     order, repeated = earliest(key, check, doc, at)
-    late = np.sort(order[repeated])
-    keep = np.sort(order[~repeated])
-    late_doc, late_at = doc[late], at[late]
-    key, check, doc, at = key[keep], check[keep], doc[keep], at[keep]
+    late = order[repeated]
+    late = late[np.lexsort((at[late], doc[late]))]
+    keep = order[~repeated]
+    keep = keep[np.lexsort((at[keep], doc[keep]))]
+    gone = [x[late] for x in (doc, at, windows)]
+    key, check, doc, at, windows = (x[keep] for x in (key, check, doc, at, windows))
     flag = np.zeros(len(key), bool)
     part = ((check if by_group else key) % np.uint64(parts)).astype(np.int64)
     if by_group and len(key):
@@ -282,44 +314,40 @@ def deal(parts: int, key, check, doc, at, by_group: bool) -> pa.RecordBatch:
         spread = order[many & (np.arange(len(order)) - np.repeat(begins, size) >= 2)]
         part[spread] = (key[spread] % np.uint64(parts)).astype(np.int64)
         flag[order[many]] = True
-    order = np.argsort(part, kind="stable")  # in text order within a task
+    order = np.argsort(part, kind="stable")  # in document order within a task
     cuts = np.searchsorted(part[order], np.arange(parts + 1))
-    rows = [(p, False, pack([x[order[cuts[p]:cuts[p + 1]]] for x in (doc, at, key, check, flag)]))
+    rows = [(p, False, pack(*(x[order[cuts[p]:cuts[p + 1]]] for x in (doc, at, windows, key, check, flag))))
             for p in np.flatnonzero(np.diff(cuts)).tolist()]
-    if len(late_doc):
-        rows.append((int(late_doc[0] % parts), True, pack([late_doc, late_at])))
+    if len(late):
+        rows.append((int(gone[0][0] % parts), True, pack(*gone)))
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else ([],) * 3, BATCH)],
                                       schema=BATCH)
 
 
-def places(rid, at, kind: int) -> pa.RecordBatch:
+def places(rid, at, kind) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.asarray(rid, np.int64)), pa.array(np.asarray(at, np.int32)),
-                                       pa.array(np.full(len(rid), kind, np.int32))], schema=PLACE)
+                                       pa.array(np.asarray(kind, np.int32))], schema=PLACE)
 
 
-def family_scan(batches: DataFrame, parts: int, late_kind: int, look_up: bool) -> DataFrame:
+def family_scan(batches: DataFrame, parts: int, look_up: bool) -> DataFrame:
     """rid, at, kind: every batch of a task added to its family; the places that are not the first of
-    their string, and with ``look_up`` the first places of contexts whose prefix has several."""
+    their string, and with ``look_up`` the first places of contexts whose shared bytes have several."""
     def scan(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = Family()
         for b in rows:
             for late, row in zip(b.column(1).to_pylist(), b.column(2)):
-                if late:
-                    found = [unpack(row.as_buffer(), False)]
-                else:
-                    doc, at, key, check, flag = unpack(row.as_buffer(), True)
-                    found = family.add(key, check, doc, at, flag)
-                for rid, at in found:
+                found = [unpack(row.as_buffer(), False)] if late else family.add(*unpack(row.as_buffer(), True))
+                for rid, at, windows in found:
                     if len(rid):
-                        yield places(rid, at, late_kind)
+                        yield places(rid, at, windows)
         if look_up:
-            _, prefix, doc, at, several = family.whole()
-            order = np.argsort(prefix, kind="stable")
-            again = np.diff(prefix[order]) == 0
+            _, check, doc, at, windows, several = family.whole()
+            order = np.argsort(check, kind="stable")
+            again = np.diff(check[order]) == 0
             several = several.copy()
             several[order[1:][again]] = True
             several[order[:-1][again]] = True
-            yield places(doc[several], at[several], LOOK_UP)
+            yield places(doc[several], at[several], -1 - windows[several].astype(np.int32))
 
     return (batches.repartitionById(parts, F.col("part")).select("part", "late", "batch")
             .mapInArrow(scan, "rid long, at int, kind int"))
@@ -329,39 +357,60 @@ def anchor_batches(docs: DataFrame, parts: int) -> DataFrame:
     """The anchors of each block of documents (rid, text), dealt by prefix."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in byte_sized(batches, "text", BATCH_BYTES):
-            data, offsets = flat(b.column(1))
-            rid, found = np.asarray(b.column(0)), []
+            data, offsets = flat(b.column("text"))
+            rid, found = np.asarray(b.column("rid")), []
             for lo, hi in blocks(offsets, HASH_BYTES):
                 block = Block(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
                 doc, at, prefix, context = block.entries()
-                found.append((mixed(prefix ^ context), prefix, rid[lo + doc], at.astype(np.int32)))
+                found.append((mixed(prefix ^ context), prefix, rid[lo + doc], at.astype(np.int32),
+                              np.full(len(at), CONTEXT, np.uint8)))
             yield deal(parts, *(np.concatenate(x) for x in zip(*found)), by_group=True)
 
-    return docs.mapInArrow(build, "part int, late boolean, batch binary")
+    return docs.select("rid", "text").mapInArrow(build, "part int, late boolean, batch binary")
 
 
-def window_batches(docs: DataFrame, parts: int) -> DataFrame:
-    """The windows of the anchors to look up (rid, text, anchors), dealt by their own hash."""
+def look_up_batches(docs: DataFrame, parts: int, single: bool) -> DataFrame:
+    """What the places to look into hold (rid, text, places), dealt by shared bytes: groups of the
+    windows of an anchor, or (``single``) the windows of a group one by one."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in byte_sized(batches, "text", BATCH_BYTES // 4):
-            data, offsets = flat(b.column(1))
-            rid, found = np.asarray(b.column(0)), []
-            anchors, counts = np.asarray(b.column(2).flatten()), np.asarray(pc.list_value_length(b.column(2)))
-            anchors = anchors + np.repeat(offsets[:-1], counts)
-            first = np.concatenate([[0], np.cumsum(counts)])
+            data, offsets = flat(b.column("text"))
+            rid, lists = np.asarray(b.column("rid")), b.column("places")
+            kind = np.asarray(lists.flatten().field("kind"))
+            row = np.repeat(np.arange(b.num_rows), np.asarray(pc.list_value_length(lists)))
+            wanted = kind < CONTEXT
+            at, n, row = np.asarray(lists.flatten().field("at"))[wanted].astype(np.int64), -1 - kind[wanted], row[wanted]
+            order = np.lexsort((at, row))
+            at, n, row = at[order] + offsets[row[order]], n[order], row[order]
+            found = []
             for lo, hi in blocks(offsets, HASH_BYTES):
-                block = Block(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
-                if not len(block.anchors):
+                a, z = np.searchsorted(row, (lo, hi))
+                if a == z:
                     continue
-                starts, one, two = block.windows(anchors[first[lo]:first[hi]] - offsets[lo])
-                doc = np.searchsorted(block.offsets, starts, "right") - 1
-                found.append((one, two, rid[lo + doc], (starts - block.offsets[doc]).astype(np.int32)))
+                text, here = data[offsets[lo]:offsets[hi]], at[a:z] - offsets[lo]
+                if single:
+                    hashes = Hashes(text)
+                    start = np.unique(np.repeat(here, n[a:z]) + _counting(n[a:z]))
+                    size = np.ones(len(start), np.uint8)
+                    check, key = (mixed(hashes.ranges(k, start, start + LENGTH)) for k in (0, 1))
+                else:
+                    start, size, check, cover = Block(text, offsets[lo:hi + 1] - offsets[lo]).groups(here)
+                    key = mixed(check ^ cover)
+                doc = np.searchsorted(offsets[lo:hi + 1] - offsets[lo], start, "right") - 1
+                found.append((key, check, rid[lo + doc], (start - (offsets[lo + doc] - offsets[lo])).astype(np.int32),
+                              size.astype(np.uint8)))
             if found:
-                yield deal(parts, *(np.concatenate(x) for x in zip(*found)), by_group=False)
+                yield deal(parts, *(np.concatenate(x) for x in zip(*found)), by_group=not single)
 
     return docs.mapInArrow(build, "part int, late boolean, batch binary")
 
 
+def _counting(n: np.ndarray) -> np.ndarray:
+    """0 .. n[0] - 1, 0 .. n[1] - 1, and so on."""
+    ends = np.cumsum(n)
+    return np.arange(int(ends[-1]) if len(n) else 0) - np.repeat(ends - n, n)
+
+
 # --- the whole job ------------------------------------------------------------------------------
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -382,22 +431,34 @@ def numbered(docs: DataFrame) -> DataFrame:
     return rows.join(order, "row_").drop("row_")
 
 
-def repeated_places(texts: DataFrame) -> DataFrame:
-    """rid, late (CONTEXT and WINDOW places) for every row of ``texts`` (rid, text) that has any."""
-    parts = shuffle_partitions(texts.sparkSession)
-    first = materialise(family_scan(anchor_batches(texts, parts), parts, CONTEXT, look_up=True), "anchors")
-    wanted = (first.where(F.col("kind") == LOOK_UP).groupBy("rid")
-              .agg(F.sort_array(F.collect_list("at")).alias("anchors")))
-    asked = texts.join(wanted, "rid").select("rid", "text", "anchors")
-    second = family_scan(window_batches(asked, parts), parts, WINDOW, look_up=False)
-    late = first.where(F.col("kind") == CONTEXT).union(second)
-    return late.groupBy("rid").agg(F.collect_list(F.struct("at", "kind")).alias("late"))
+def by_row(places_: DataFrame, name: str) -> DataFrame:
+    """rid and the list ``name`` of its places."""
+    return places_.groupBy("rid").agg(F.collect_list(F.struct("at", "kind")).alias(name))
+
+
+def with_places(rows: DataFrame) -> DataFrame:
+    """``rows`` (rid, text and other columns) with the lists p1, p2, p3 of places that the rounds found.
+
+    ``rows`` goes into all joins in the same form, so that its texts are shuffled once."""
+    rows = rows.where(F.col("rid").isNotNull())
+    parts = shuffle_partitions(rows.sparkSession)
+    one = materialise(family_scan(anchor_batches(rows, parts), parts, look_up=True), "anchors")
+    asked = rows.join(by_row(one.where(F.col("kind") < CONTEXT), "places"), "rid")
+    two = by_row(family_scan(look_up_batches(asked, parts, single=False), parts, look_up=True), "p2")
+    asked = rows.join(two, "rid").withColumnRenamed("p2", "places")
+    three = by_row(family_scan(look_up_batches(asked, parts, single=True), parts, look_up=False), "p3")
+    one = by_row(one.where(F.col("kind") == CONTEXT), "p1")
+    return rows.join(one, "rid", "left").join(two, "rid", "left").join(three, "rid", "left")
 
 
 def removed_runs(size: int, at: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal removed runs [from, to) of a text of ``size`` bytes."""
+    late = kind >= CONTEXT
+    at, kind = at[late], kind[late]
+    if not len(at):
+        return at, at
     lo = np.where(kind == CONTEXT, np.maximum(at - (LENGTH - ANCHOR), 0), at)
-    hi = np.minimum(at + LENGTH, size)
+    hi = np.where(kind == CONTEXT, np.minimum(at + LENGTH, size), at + kind - 1 + LENGTH)
     order = np.argsort(lo, kind="stable")
     lo, reach = lo[order], np.maximum.accumulate(hi[order])
     new = np.flatnonzero(np.r_[True, lo[1:] > reach[:-1]])
@@ -405,15 +466,13 @@ def removed_runs(size: int, at: np.ndarray, kind: np.ndarray) -> tuple[np.ndarra
 
 
 def _each_text(b: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
-    """(text, from, to) of the rows of (.., text, late)."""
-    none = np.zeros(0, np.int64)
-    for text, late in zip(b.column("text"), b.column("late")):
+    """(text, from, to) of the rows of (.., text, p1, p2, p3)."""
+    for text, *lists in zip(*(b.column(c) for c in ("text", "p1", "p2", "p3"))):
         data = (text.as_py() or "").encode()
-        if late.is_valid:
-            values = late.values
-            yield data, *removed_runs(len(data), np.asarray(values.field(0)).astype(np.int64), np.asarray(values.field(1)))
-        else:
-            yield data, none, none
+        found = [x.values for x in lists if x.is_valid]
+        at, kind = (np.concatenate([np.asarray(x.field(f)).astype(np.int64) for x in found] or [np.zeros(0, np.int64)])
+                    for f in ("at", "kind"))
+        yield data, *removed_runs(len(data), at, kind)
 
 
 def kept_bytes(data: bytes, lo: np.ndarray, hi: np.ndarray) -> bytes:
@@ -422,12 +481,6 @@ def kept_bytes(data: bytes, lo: np.ndarray, hi: np.ndarray) -> bytes:
     return b"".join(data[a:b] for a, b in zip([0, *hi.tolist()], [*lo.tolist(), len(data)]))
 
 
-def _joined(docs: DataFrame) -> DataFrame:
-    rows = numbered(docs)
-    late = repeated_places(rows.select("rid", F.coalesce("text", F.lit("")).alias("text")))
-    return rows.join(late, "rid", "left")
-
-
 def substring_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every document."""
     out = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
@@ -440,8 +493,8 @@ def substring_report(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(out)[1:]))],
                                              schema=out)
 
-    joined = _joined(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    return (joined.select("doc_id", "text", "late")
+    joined = with_places(numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")))
+    return (joined.select("doc_id", "text", "p1", "p2", "p3")
             .mapInArrow(report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
 
 
@@ -449,10 +502,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeats taken out of ``text``. A character goes if any of its bytes goes, so
     the text stays valid; a null text stays null, a wholly repeated one becomes empty. ``n_chars``,
     if there, is the new length in characters."""
-    columns = docs.columns
-    names = [f"c{i}" for i in range(len(columns))]
-    inner = docs.select(F.col("doc_id"), F.col("text"), F.struct(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)]
-                                                                if columns else []).alias("row"))
+    others = [c for c in docs.columns if c != "text"]
+    names = [f"c{i}" for i in range(len(others))]
+    row = F.struct(*[F.col(f"`{c}`").alias(n) for c, n in zip(others, names)]).alias("row")
+    inner = docs.select(F.col("doc_id"), F.col("text"), row)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in byte_sized(batches, "text", BATCH_BYTES):
@@ -460,16 +513,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                     for t, (d, lo, hi) in zip(b.column("text"), _each_text(b))]
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(kept, pa.string())], names=["row", "kept"])
 
-    joined = _joined(inner).select("row", "text", "late")
-    schema = inner.select("row").schema.add("kept", "string")
-    result = joined.mapInArrow(cut, schema)
-    out = []
-    for c, n in zip(columns, names):
+    joined = with_places(numbered(inner)).select("row", "text", "p1", "p2", "p3")
+    result = joined.mapInArrow(cut, inner.select("row").schema.add("kept", "string"))
+    where = dict(zip(others, names))
+
+    def column(c: str) -> F.Column:
         if c == "text":
-            out.append(F.col("kept").alias(c))
-        elif c == "n_chars":
-            kind = docs.schema[c].dataType
-            out.append(F.coalesce(F.length("kept").cast(kind), F.col(f"row.{n}")).alias(c))
-        else:
-            out.append(F.col(f"row.{n}").alias(c))
-    return result.select(*out)
+            return F.col("kept").alias(c)
+        own = F.col(f"row.{where[c]}")
+        length = F.length("kept").cast(docs.schema[c].dataType)
+        return (F.coalesce(length, own) if c == "n_chars" else own).alias(c)
+
+    return result.select(*map(column, docs.columns))

@@ -80,12 +80,24 @@ def test_family_merges_geometrically_and_keeps_the_first_places():
         key = rng.integers(0, 500, 100).astype(np.uint64)
         doc, at = rng.integers(0, 1000, 100), rng.integers(0, 50, 100).astype(np.int32)
         pairs = list(zip(key.tolist(), zip(doc.tolist(), at.tolist())))
-        for d, a in family.add(key, key, doc, at, np.zeros(100, bool)):
+        for d, a, _ in family.add(key, key, doc, at, np.zeros(100, np.uint8), np.zeros(100, bool)):
             late += list(zip(d.tolist(), a.tolist()))
         for k, p in pairs:
             first[k] = min(first.get(k, p), p)
         sizes = [len(x[0]) for x in family.levels]
         assert all(a >= 2 * b for a, b in zip(sizes, sizes[1:]))
-    key, _, doc, at, _ = family.whole()
+    key, _, doc, at, _, _ = family.whole()
     assert {k: (d, a) for k, d, a in zip(key.tolist(), doc.tolist(), at.tolist())} == first
     assert len(late) == 4000 - len(first)
+
+
+def test_packed_batches_come_back():
+    rng = np.random.default_rng(1)
+    doc = np.sort(rng.integers(-5, 40, 500))
+    at = rng.integers(0, 2**31 - 1, 500).astype(np.int32)
+    order = np.lexsort((at, doc))
+    cols = [doc[order], at[order], rng.integers(0, 66, 500).astype(np.uint8), rng.integers(0, 2**64, 500, dtype=np.uint64),
+            rng.integers(0, 2**64, 500, dtype=np.uint64), rng.integers(0, 2, 500).astype(bool)]
+    key, check, d, a, w, f = S.unpack(S.pack(*cols), True)
+    assert all((x == y).all() for x, y in zip((d, a, w, key, check, f), cols))
+    assert all((x == y).all() for x, y in zip(S.unpack(S.pack(*cols[:3]), False), cols))
