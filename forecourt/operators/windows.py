@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 
 def dense_rank_first(df: DataFrame, partition: Sequence[str], order_col: str,
-                     method: str = "agg") -> DataFrame:
+                     method: str = "window") -> DataFrame:
     """Rows with ``DENSE_RANK() OVER (PARTITION BY p ORDER BY o ASC NULLS LAST) = 1``.
 
     Rank 1 is every row whose ``o`` equals the partition's first value: the smallest non-null
-    value, or null when the partition has only nulls. ``method="agg"`` computes that value with
-    a hash aggregate (partial on the map side) and keeps matching rows with a null-safe semi
-    join, so one huge partition is never sorted inside a single task. ``method="window"`` is the
-    literal window form.
+    value, or null when the partition has only nulls. ``method="window"`` (default) plans as
+    ``WindowGroupLimit``: each map task passes on its candidate rows only, so of a big partition
+    one task sees a few rows per map task. ``method="agg"`` computes the first value with a hash
+    aggregate and keeps matching rows with a null-safe semi join; it plans the input twice and is
+    for a partition in which most rows tie for rank 1, which the limit can't prune.
     """
     if method == "window":
         w = Window.partitionBy(*partition).orderBy(F.col(order_col).asc_nulls_last())
@@ -38,46 +39,45 @@ def with_previous(df: DataFrame, partition: Sequence[str], order: Sequence[Colum
     return df
 
 
+def month_bucket(column: str) -> Column:
+    """Year and month of a date or timestamp as one number; null stays null."""
+    return F.year(column) * 12 + F.month(column)
+
+
 def previous_in_range(df: DataFrame, partition: Sequence[str], order: Sequence[str],
                       columns: Sequence[str], prefix: str = "prev_",
-                      num_partitions: int | None = None) -> DataFrame:
+                      bucket: Column | None = None) -> DataFrame:
     """``LAG(c) OVER (PARTITION BY p ORDER BY o ASC NULLS LAST)`` without one task per group.
 
     A window sends every row of a group to one task, so a group holding a third of the rows is
-    sorted by one task. Here the rows are range-partitioned on (p, o): a big group spans many
-    range partitions. The predecessor is taken inside each (range partition, group) slice, and
-    only the first row of a range partition can have its predecessor outside it: that row is
-    patched from the last row of the nearest earlier non-empty range partition (one row per
-    partition, so the broadcast is bounded by the partition count, not by the data).
-    ``order`` must make the order total (end it with a unique id) for a deterministic result.
+    sorted by one task. Here a group is cut into buckets of its first order column: ``bucket``, a
+    value that never falls as that column rises and is null where it is null (default: year and
+    month). LAG runs inside (p, bucket); the last row of every bucket, one ``max(struct)`` with a
+    map-side partial step, is lagged over the few buckets of its group and patches the first row
+    of the next bucket. Every step is a function of the rows alone, so it doesn't matter how they
+    are partitioned or whether an exchange is reused. ``order`` must make the order total (end it
+    with a unique id) for a deterministic result.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*partition, *order]
-    carried = list(dict.fromkeys([*partition, *columns]))
-    tagged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_last() for c in keys])
-                .withColumn("_rp", F.spark_partition_id()))
-
-    w = Window.partitionBy("_rp", *partition).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    local = tagged.withColumn("_rn", F.row_number().over(w))
+    carried = list(dict.fromkeys(columns))
+    cut = df.withColumn("_bucket", month_bucket(order[0]) if bucket is None else bucket)
+    w = Window.partitionBy(*partition, "_bucket").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    local = cut.withColumn("_rn", F.row_number().over(w))
     for c in columns:
         local = local.withColumn(prefix + c, F.lag(c).over(w))
 
     # max(struct(isnull(k), k, ...)) is the last row in ASC NULLS LAST order.
-    sort_key = [x for c in keys for x in (F.col(c).isNull().alias(f"_n_{c}"), F.col(c).alias(f"_k_{c}"))]
-    last = tagged.groupBy("_rp").agg(
+    sort_key = [x for c in order for x in (F.col(c).isNull().alias(f"_n_{c}"), F.col(c).alias(f"_k_{c}"))]
+    last = cut.groupBy(*partition, "_bucket").agg(
         F.max(F.struct(*sort_key, *[F.col(c).alias(f"_c_{c}") for c in carried])).alias("_last"))
-    edge = last.select(F.col("_rp").alias("_edge_rp"),
-                       F.lag("_last").over(Window.orderBy("_rp")).alias("_edge"))
-
-    out = local.join(F.broadcast(edge), F.col("_rp") == F.col("_edge_rp"), "left")
-    same = F.col("_rn") == 1
-    for p in partition:
-        same = same & F.col(p).eqNullSafe(F.col("_edge")[f"_c_{p}"])
-    same = same & F.col("_edge").isNotNull()
-    for c in columns:
-        out = out.withColumn(prefix + c, F.when(same, F.col("_edge")[f"_c_{c}"]).otherwise(F.col(prefix + c)))
-    return out.drop("_rp", "_rn", "_edge_rp", "_edge")
+    buckets = Window.partitionBy(*partition).orderBy(F.col("_bucket").asc_nulls_last())
+    edge = last.select(*[F.col(p).alias(f"_edge_{i}") for i, p in enumerate(partition)],
+                       F.col("_bucket").alias("_edge_bucket"), F.lag("_last").over(buckets).alias("_edge"))
+    cond = F.col("_bucket").eqNullSafe(F.col("_edge_bucket")) & (F.col("_rn") == 1)
+    for i, p in enumerate(partition):
+        cond = cond & F.col(p).eqNullSafe(F.col(f"_edge_{i}"))
+    out = local.join(edge, cond, "left")
+    patched = {prefix + c: F.when(F.col("_rn") == 1, F.col("_edge")[f"_c_{c}"]).otherwise(F.col(prefix + c)) for c in columns}
+    return out.withColumns(patched).drop("_bucket", "_rn", "_edge", "_edge_bucket", *[f"_edge_{i}" for i in range(len(partition))])
 
 
 def repeat_deals(

@@ -32,7 +32,8 @@ def margin_base_frame(t: Tables) -> DataFrame:
         deals = deal_master_shared(t)
         invoices, line_costs, advisors = refurb_inputs(t)
         cost = refurb_cost(invoices, line_costs, advisors, out_type="double")
-        merged = merge_null_safe(deals, cost, "sell_lead_id").drop("reg_no")
+        leads = t.orders.select(F.col("o_custkey").alias("sell_lead_id"))
+        merged = merge_null_safe(deals, cost, "sell_lead_id", left_keys=leads).drop("reg_no")
         merged = merged.withColumn("car_live_date", F.col("car_live_date").cast("timestamp_ntz"))
         return merged.select(*MARGIN_COLUMNS)
     return t.memo("margin_base", build)

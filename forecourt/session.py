@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: AQE re-plans joins from runtime sizes (that is the size check
 # behind every broadcast of a table whose size grows with the data), splits skewed join
@@ -14,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # also where the split adds an exchange: chained joins on one key, a group-by on the join key
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -68,3 +71,15 @@ def shared_dir(spark: SparkSession, sub: str = "") -> str:
             base = tempfile.mkdtemp(prefix="forecourt-ckpt-")
             sc.setCheckpointDir(base)
     return os.path.join(base, sub) if sub else base
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to a fresh folder below the shared folder and read back: its plan runs once
+    however often the result is used, and its lineage ends at files every executor sees. Hadoop
+    deletes the folder when the driver exits."""
+    spark = df.sparkSession
+    path = shared_dir(spark, f"scratch/{tag}-{uuid.uuid4().hex}")
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -90,7 +90,7 @@ def test_merge_null_safe_equals_pandas_merge(spark, left_rows, right_rows):
     left = spark.createDataFrame([(i, k, v) for i, (k, v) in enumerate(left_rows)], "id long, key long, lv long")
     right = spark.createDataFrame(right_rows, "key long, rv long") if right_rows else \
         spark.createDataFrame([], "key long, rv long")
-    got = Counter((r.id, r.key, r.lv, r.rv) for r in joins.merge_null_safe(left, right, "key", salt_buckets=3).collect())
+    got = Counter((r.id, r.key, r.lv, r.rv) for r in joins.merge_null_safe(left, right, "key", null_rows_a_task=3).collect())
     lp = pd.DataFrame([(i, k, v) for i, (k, v) in enumerate(left_rows)], columns=["id", "key", "lv"]).astype(object)
     rp = pd.DataFrame(right_rows, columns=["key", "rv"]).astype(object)
     want = lp.merge(rp, on="key", how="left")
@@ -110,24 +110,43 @@ def test_decision_join_equals_case_over_full_domain(spark):
     assert _multiset(joined) == _multiset(cased)
 
 
+def test_merge_null_safe_copies_no_right_row_without_left_nulls(spark):
+    left = spark.createDataFrame([(1, 5)], "id long, key long")
+    right = spark.createDataFrame([(None, 1), (None, 2), (5, 3)], "key long, rv long")
+    df = joins.merge_null_safe(left, right, "key", null_rows_a_task=1)
+    assert [(r.id, r.rv) for r in df.collect()] == [(1, 3)]
+    right_side = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in right_side and "CartesianProduct" not in right_side
+
+
 @SETTINGS
-@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.integers(0, 5), st.sampled_from("abc")),
-                min_size=1, max_size=40),
-       st.integers(1, 5))
-def test_range_lag_equals_window_lag(spark, rows, parts):
-    # Few groups and many rows per group: most groups span several range partitions.
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.one_of(st.none(), st.integers(0, 60)),
+                          st.sampled_from("abc")), min_size=1, max_size=40),
+       st.integers(1, 20))
+def test_bucketed_lag_equals_window_lag(spark, rows, width):
+    # Few groups and many rows per group: most groups span several buckets, some buckets are empty.
     data = [(i, g, t, s) for i, (g, t, s) in enumerate(rows)]
     df = spark.createDataFrame(data, "id long, g long, t long, s string")
     order = [F.col("t").asc_nulls_last(), F.col("id").asc_nulls_last()]
     want = windows.with_previous(df, ["g"], order, ["s", "id"])
-    got = windows.previous_in_range(df, ["g"], ["t", "id"], ["s", "id"], num_partitions=parts)
+    got = windows.previous_in_range(df, ["g"], ["t", "id"], ["s", "id"], bucket=F.floor(F.col("t") / width))
     cols = ["id", "g", "t", "s", "prev_s", "prev_id"]
     assert _multiset(got.select(*cols)) == _multiset(want.select(*cols))
 
 
-def test_range_lag_splits_a_hot_group(spark):
-    df = spark.range(0, 2000).select(F.col("id"), F.lit(1).cast("long").alias("g"), (F.col("id") % 7).alias("t"))
-    got = windows.previous_in_range(df, ["g"], ["t", "id"], ["id"], num_partitions=8)
-    want = windows.with_previous(df, ["g"], [F.col("t"), F.col("id")], ["id"])
-    assert got.count() == 2000
-    assert _multiset(got.select("id", "prev_id")) == _multiset(want.select("id", "prev_id"))
+def test_bucketed_lag_on_a_million_rows_with_a_hot_group(spark):
+    """Three quarters of the rows in one group, a column kept beside the carried ones, no reuse of exchanges."""
+    df = spark.range(0, 1_000_000, numPartitions=8).select(
+        "id", F.when(F.col("id") % 4 > 0, 1).otherwise(F.col("id") % 1000).cast("long").alias("g"),
+        F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(86400 * 2000))).cast("timestamp_ntz").alias("t"),
+        F.concat(F.lit("kept"), F.col("id")).alias("extra"))
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = windows.previous_in_range(df, ["g"], ["t", "id"], ["id"])
+        want = windows.with_previous(df, ["g"], [F.col("t"), F.col("id")], ["id"])
+        diff = got.select("id", "extra", "prev_id").exceptAll(want.select("id", "extra", "prev_id"))
+        assert "rangepartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+        assert got.count() == 1_000_000 and diff.count() == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
