@@ -8,7 +8,6 @@ Layout
                ranked de-duplication, repeat-deal detection, null-safe merge)
 ``plans``      the data products built from the operators, and the query catalog
 ``sinks``      snapshot publishing and text export
-``streaming``  intentionally empty: the workload is batch only
 """
 
 from forecourt.session import build_session, shared_dir

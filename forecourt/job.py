@@ -9,6 +9,7 @@ FIXTURES.md (``invoice``, ``deal``, ...) and a JSON file with the bucket rules a
 category:
 {"category": "...", "city_rules": [["%pattern%", "City"], ...], "hub_rules": [...],
  "url_rules": [...], "source_labels": [[187, "Label"], ...], "direct_label": "..."}.
+``source_labels`` are added to the known ones; every code of ``SOURCE_CODES`` must have a label.
 Targets go under ``--out`` (default: ``<spark.checkpoint.dir>/published``), which must be
 storage every executor sees.
 """
@@ -21,8 +22,8 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.session import build_session, shared_dir
-from forecourt.sinks.publish import committed_table, publish_margin
+from forecourt.session import build_session, scratch_path, shared_dir, written
+from forecourt.sinks.publish import fingerprint, publish_margin, publish_table, stage_table
 
 WORKSHOP_TABLES = ("invoice", "workshop", "invoice_meta", "car", "refurb_car", "job_row", "refurb_user",
                    "job_card_user")
@@ -52,46 +53,43 @@ def products_warehouse_layout(spark: SparkSession, data: str, rules: dict) -> tu
 
     tb = {name: read_table(spark, data, name) for name in WORKSHOP_TABLES + DEAL_TABLES}
     refurb = refurb_cost(*refurb_inputs_from_tables(tb, [tuple(r) for r in rules.get("city_rules", [])]))
-    labels = [tuple(r) for r in rules.get("source_labels", [])]
-    kwargs = {"source_labels": labels} if labels else {}
     deals = deal_master_from_tables(
         tb, category=rules["category"], hub_rules=[tuple(r) for r in rules.get("hub_rules", [])],
         url_rules=[tuple(r) for r in rules.get("url_rules", [])],
-        direct_label=rules.get("direct_label", "Other Direct"), **kwargs)
-    return deals, refurb
+        direct_label=rules.get("direct_label", "Other Direct"),
+        source_labels=[tuple(r) for r in rules.get("source_labels", [])])
+    return written(deals, "deal-master"), refurb
 
 
 def run(spark: SparkSession, layout: str, data: str, out: str | None, copies: int, as_of: dt.datetime,
-        rules: dict | None = None, run_id: str | None = None) -> dict[str, list[str]]:
-    """Refurb cost is written first; the margin base merges the deal master with that written
+        rules: dict | None = None, run_id: str | None = None, fmt: str = "parquet") -> dict[str, list[str]]:
+    """Refurb cost is staged first; the margin base merges the deal master with that written
     table, so the refurb plan runs once and the margin lineage starts at a committed table.
 
     With ``run_id`` both products are staged under ``<spark.checkpoint.dir>/staging/<run_id>``:
-    rerunning the same run id after a driver failure reuses whatever was already committed.
+    rerunning the same run id after a driver failure reuses whatever was committed from the same
+    input files, rules and reference time. ``fmt="csv"`` publishes the margin targets as
+    blank-filled text with a header. Targets are read with ``sinks.published_table``.
     """
     from forecourt.plans.deal_master_tables import margin_base_from_tables
+    from forecourt.plans.margin import MONEY_COLUMNS
 
+    stamp = fingerprint(spark, [data], layout=layout, rules=rules, as_of=as_of.isoformat())
     if layout == "test":
         deals, refurb = products_test_layout(spark, data)
     else:
         deals, refurb = products_warehouse_layout(spark, data, rules or {})
     base = out or shared_dir(spark, "published")
-    stage = shared_dir(spark, f"staging/{run_id}") if run_id else None
-    refurb_target = f"{base}/refurb_cost"
-    refurb_table = committed_table(spark, f"{stage}/refurb_cost") if stage else None
-    if refurb_table is None:
-        refurb_path = f"{stage}/refurb_cost" if stage else refurb_target
-        refurb.write.mode("overwrite").parquet(refurb_path)
-        refurb_table = spark.read.parquet(refurb_path)
-    if stage:
-        refurb_table.write.mode("overwrite").parquet(refurb_target)
+    stage = shared_dir(spark, f"staging/{run_id}") if run_id else scratch_path(spark, "staging")
+    refurb_table = stage_table(refurb, f"{stage}/refurb_cost", stamp)
+    publish_table(refurb_table, f"{base}/refurb_cost")
     margin = margin_base_from_tables(deals, refurb_table)
-    written = publish_margin(
-        margin, refurb, full_targets=[f"{base}/margin_{i:02d}" for i in range(copies)],
-        trailing_target=f"{base}/margin_trailing", refurb_target=None, as_of=as_of,
-        staging=f"{stage}/margin_base" if stage else None)
-    written["refurb"] = [refurb_target]
-    return written
+    done = publish_margin(
+        margin, refurb_table, full_targets=[f"{base}/margin_{i:02d}" for i in range(copies)],
+        trailing_target=f"{base}/margin_trailing", refurb_target=None, as_of=as_of, fmt=fmt,
+        staging=f"{stage}/margin_base", stamp=stamp, money_scale=MONEY_COLUMNS)
+    done["refurb"] = [f"{base}/refurb_cost"]
+    return done
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -102,12 +100,15 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--copies", type=int, default=12)
     p.add_argument("--as-of", required=True, help="reference time of the trailing window (ISO format)")
     p.add_argument("--rules", help="JSON file with rules (warehouse layout)")
+    p.add_argument("--format", choices=("parquet", "csv"), default="parquet",
+                   help="format of the margin targets; csv is the blank-filled text export")
     p.add_argument("--run-id", help="stage results under this id; rerunning it resumes")
     a = p.parse_args(argv)
     rules = json.load(open(a.rules)) if a.rules else None
     spark = build_session(app_name="forecourt-job")
-    written = run(spark, a.layout, a.data, a.out, a.copies, dt.datetime.fromisoformat(a.as_of), rules, a.run_id)
-    print(json.dumps(written))
+    published = run(spark, a.layout, a.data, a.out, a.copies, dt.datetime.fromisoformat(a.as_of), rules, a.run_id,
+                  a.format)
+    print(json.dumps(published))
 
 
 if __name__ == "__main__":

@@ -32,6 +32,8 @@ VISIT_TYPE = 2
 WEB_ARTICLE, EXT_PLATFORM, EXT_REQUEST = 246, 319, 321
 DEFAULT_SOURCE_LABELS = ((356, "Inbound"), (301, "Walk-in"), (342, "Whatsapp"), (5, "Assured Redirect"),
                          (60, "Buyrequest"))
+#: Source object types that must have a label; 187's is a brand name and has no default.
+SOURCE_CODES = (187, 356, 301, 342, 5, 60)
 DIRECT_SOURCE_CODES = (249, 27, 197, 136, 309)
 PAPER_TRANSFER_COST, WARRANTY_COST = 4800, 1500
 BANK_LOG_SPECS = [("approved_date", 4, "max"), ("rejected_date_bank", 5, "min"), ("bank_login_date", 0, "max")]
@@ -97,10 +99,20 @@ def loan_status_from_tables(tb: Mapping[str, DataFrame]) -> DataFrame:
         "loan_flow_status").distinct()
 
 
+def merged_source_labels(given: Sequence[tuple[int, str]]) -> list[tuple[int, str]]:
+    """The given labels over the default ones; a code without a label is an error, since its leads
+    would all turn into 'Others'."""
+    labels = {**dict(DEFAULT_SOURCE_LABELS), **dict(given)}
+    missing = [c for c in SOURCE_CODES if not labels.get(c)]
+    if missing:
+        raise ValueError(f"source_labels: no label for source object type {', '.join(map(str, missing))}")
+    return list(labels.items())
+
+
 def lead_sources_from_tables(
     tb: Mapping[str, DataFrame],
     url_rules: Sequence[tuple[str, str]],
-    code_labels: Sequence[tuple[int, str]] = DEFAULT_SOURCE_LABELS,
+    code_labels: Sequence[tuple[int, str]],
     direct_codes: Sequence[int] = DIRECT_SOURCE_CODES,
     direct_label: str = "Other Direct",
 ) -> DataFrame:
@@ -146,7 +158,7 @@ def deal_master_from_tables(
     selection_floor: str = "2021-10-01",
     created_floor: str = "2021-10-01",
     mask_pii: bool = True,
-    source_labels: Sequence[tuple[int, str]] = DEFAULT_SOURCE_LABELS,
+    source_labels: Sequence[tuple[int, str]] = (),
     direct_label: str = "Other Direct",
 ) -> DataFrame:
     """One wide row per selected deal and per distinct value of the one-to-many sides that
@@ -203,7 +215,7 @@ def deal_master_from_tables(
     loan = loan_status_from_tables(tb).select(
         F.col("deal_id").alias("_loan_deal"), "loan_vendor", "loan_flow_status", "login_date", "approved_date",
         "rejected_date", "net_disbursed_amount", "loan_confirmation_date")
-    sources = lead_sources_from_tables(tb, url_rules, source_labels, direct_label=direct_label)
+    sources = lead_sources_from_tables(tb, url_rules, merged_source_labels(source_labels), direct_label=direct_label)
 
     # Joins are grouped by key so the wide deal stream is re-partitioned once per key
     # (buy lead, contact, sell lead, profile, creator, deal) instead of once per join; small

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +13,10 @@ from forecourt.plans.deals import DEAL_MASTER_SQL, deal_master_shared
 from forecourt.plans.refurb import refurb_cost
 from forecourt.plans.refurb_testdata import REFURB_SQL, refurb_inputs
 from forecourt.plans.registry import register
-from forecourt.session import shared_dir
-from forecourt.sinks.publish import blank_fill, publish_snapshot, trailing_window
+from forecourt.session import scratch_path
+from forecourt.sinks.publish import (
+    TEXT_OPTIONS, publish_snapshot, publish_table, publish_text, published_table, trailing_window,
+)
 from forecourt.sources.tables import Tables
 
 MONEY_COLUMNS = {"procurement_price": 2, "listing_price": 2, "sell_price": 2, "payment_amount": 2,
@@ -61,13 +62,18 @@ def margin_base_q(spark: SparkSession, d: str) -> DataFrame:
     return margin_base_frame(Tables(spark, d))
 
 
+def _scratch_target(spark: SparkSession, name: str) -> str:
+    """A fresh target below the shared folder that goes when the driver exits."""
+    return scratch_path(spark, f"snapshots-{name}")
+
+
 @register("publish_snapshot", MARGIN_SQL)
 def publish_snapshot_q(spark: SparkSession, d: str) -> DataFrame:
     """Write the margin base to two snapshot targets in the shared folder, read one back."""
-    run = shared_dir(spark, f"snapshots/{uuid.uuid4().hex}")
+    run = _scratch_target(spark, "full")
     targets = [f"{run}/sheet_a", f"{run}/sheet_b"]
     publish_snapshot(margin_base_frame(Tables(spark, d)), targets)
-    return spark.read.parquet(targets[1])
+    return published_table(spark, targets[1])
 
 
 @register("publish_trailing", f"""
@@ -75,8 +81,12 @@ SELECT * FROM ({MARGIN_SQL}) m
 WHERE deal_status = 'Delivered'
   AND CAST(delivery_time AS TIMESTAMP) >= TIMESTAMP '{TRAILING_AS_OF:%Y-%m-%d %H:%M:%S}' - INTERVAL {TRAILING_DAYS} DAY""")
 def publish_trailing_q(spark: SparkSession, d: str) -> DataFrame:
-    return trailing_window(margin_base_frame(Tables(spark, d)), "delivery_time", TRAILING_AS_OF, TRAILING_DAYS,
-                           status_col="deal_status", status="Delivered")
+    """Write the delivered deals of the trailing window to a target, read it back."""
+    trailing = trailing_window(margin_base_frame(Tables(spark, d)), "delivery_time", TRAILING_AS_OF, TRAILING_DAYS,
+                               status_col="deal_status", status="Delivered")
+    target = _scratch_target(spark, "trailing")
+    publish_table(trailing, target)
+    return published_table(spark, target)
 
 
 def _blank_sql() -> str:
@@ -90,4 +100,7 @@ def _blank_sql() -> str:
 
 @register("blank_fill_export", f"SELECT {_blank_sql()} FROM ({MARGIN_SQL}) m")
 def blank_fill_export_q(spark: SparkSession, d: str) -> DataFrame:
-    return blank_fill(margin_base_frame(Tables(spark, d)), MONEY_COLUMNS)
+    """Write the margin base as blank-filled text with a header, read it back."""
+    target = _scratch_target(spark, "text")
+    publish_text(margin_base_frame(Tables(spark, d)), target, MONEY_COLUMNS)
+    return published_table(spark, target, "csv", TEXT_OPTIONS)

@@ -73,13 +73,17 @@ def shared_dir(spark: SparkSession, sub: str = "") -> str:
     return os.path.join(base, sub) if sub else base
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written to a fresh folder below the shared folder and read back: its plan runs once
-    however often the result is used, and its lineage ends at files every executor sees. Hadoop
-    deletes the folder when the driver exits."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A fresh folder below the shared folder; Hadoop deletes it when the driver exits."""
     path = shared_dir(spark, f"scratch/{tag}-{uuid.uuid4().hex}")
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return path
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to a scratch folder and read back: its plan runs once however often the result
+    is used, and its lineage ends at files every executor sees."""
+    path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,55 +1,157 @@
 """Publishing a result to several snapshot targets, the trailing-window subset and the text
-export with blanks for nulls."""
+export with blanks for nulls.
+
+A *published table* is a folder with one sub-folder per version and a pointer file that names the
+current one. A version is written completely, given a manifest, and only then made current, so a
+failed write leaves the old version readable. :func:`published_table` reads the current version.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from forecourt.functions.columns import ntz_literal
 
-
-def committed_table(spark, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """The table at ``path`` if a write to it has committed, else None. A failed write leaves
-    only hidden ``_temporary`` files, which readers ignore, so it reads as missing."""
-    try:
-        return spark.read.format(fmt).load(path)
-    except AnalysisException:
+POINTER, MANIFEST, SUCCESS = "_CURRENT", "_MANIFEST", "_SUCCESS"
+
+
+class _Folder:
+    """Small files and folders through Hadoop, so that any store Spark writes to works."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm, self.root = spark.sparkContext._jvm, path
+        self.path = lambda *names: self.jvm.org.apache.hadoop.fs.Path("/".join([path, *names]))
+        self.fs = self.path().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def read(self, *names: str) -> str | None:
+        if not self.fs.exists(self.path(*names)):
+            return None
+        stream = self.fs.open(self.path(*names))
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write(self, text: str, *names: str) -> None:
+        stream = self.fs.create(self.path(*names), True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+
+    def drop(self, *names: str) -> None:
+        self.fs.delete(self.path(*names), True)
+
+    def folders(self) -> list[str]:
+        if not self.fs.exists(self.path()):
+            return []
+        return [s.getPath().getName() for s in self.fs.listStatus(self.path()) if s.isDirectory()]
+
+
+def fingerprint(spark: SparkSession, inputs: Sequence[str] = (), **settings) -> str:
+    """Names the state of the inputs (their files' names, sizes and times) and the settings: rules,
+    ``as_of`` and whatever else the result depends on."""
+    files = []
+    for path in inputs:
+        folder = _Folder(spark, path)
+        it = folder.fs.listFiles(folder.path(), True)
+        while it.hasNext():
+            f = it.next()
+            files.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    text = json.dumps([sorted(files), settings], sort_keys=True, default=str)
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def _commit(df: DataFrame, folder: _Folder, version: str, fmt: str, stamp: str, options: Mapping[str, str]) -> DataFrame:
+    """Write one version and its manifest (last), and read it back."""
+    spark, path = df.sparkSession, f"{folder.root}/{version}"
+    df.write.mode("overwrite").format(fmt).options(**options).save(path)
+    back = spark.read.schema(df.schema).options(**options).format(fmt).load(path)
+    folder.write(json.dumps({"rows": back.count(), "schema": df.schema.json(), "fingerprint": stamp}), version, MANIFEST)
+    return back
+
+
+def committed_table(spark: SparkSession, path: str, stamp: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path`` if its write committed, its manifest carries the fingerprint ``stamp`` and it
+    holds the rows the manifest counts; else None."""
+    folder = _Folder(spark, path)
+    text = folder.read(MANIFEST)
+    if text is None or folder.read(SUCCESS) is None:
         return None
+    manifest = json.loads(text)
+    if manifest["fingerprint"] != stamp:
+        return None
+    table = spark.read.schema(T.StructType.fromJson(json.loads(manifest["schema"]))).format(fmt).load(path)
+    return table if table.count() == manifest["rows"] else None
+
+
+def stage_table(df: DataFrame, path: str, stamp: str, fmt: str = "parquet") -> DataFrame:
+    """The staged table at ``path``: reused if committed with the same fingerprint, else written anew."""
+    done = committed_table(df.sparkSession, path, stamp, fmt)
+    if done is not None:
+        return done
+    parent, _, name = path.rpartition("/")
+    return _commit(df, _Folder(df.sparkSession, parent), name, fmt, stamp, {})
+
+
+def publish_table(df: DataFrame, target: str, fmt: str = "parquet", options: Mapping[str, str] | None = None) -> DataFrame:
+    """Overwrite one target: write a new version, point to it, then drop the older ones."""
+    folder = _Folder(df.sparkSession, target)
+    version = f"version-{uuid.uuid4().hex}"
+    back = _commit(df, folder, version, fmt, "", options or {})
+    folder.write(version, POINTER)
+    for old in folder.folders():
+        if old != version:
+            folder.drop(old)
+    return back
+
+
+def published_table(spark: SparkSession, target: str, fmt: str = "parquet",
+                    options: Mapping[str, str] | None = None) -> DataFrame:
+    """The current version of a published table."""
+    folder = _Folder(spark, target)
+    version = folder.read(POINTER)
+    if version is None:
+        raise FileNotFoundError(f"nothing is published at {target}")
+    schema = T.StructType.fromJson(json.loads(json.loads(folder.read(version, MANIFEST))["schema"]))
+    return spark.read.schema(schema).options(**(options or {})).format(fmt).load(f"{target}/{version}")
+
+
+#: Text export: a header; blanks are quoted empty fields, which read back as empty, not null.
+TEXT_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+
+
+def publish_text(df: DataFrame, target: str, money_scale: Mapping[str, int] | None = None) -> DataFrame:
+    """The blank-filled text of ``df`` as CSV with a header (the spreadsheet export)."""
+    return publish_table(blank_fill(df, money_scale), target, "csv", TEXT_OPTIONS)
 
 
 def publish_snapshot(df: DataFrame, targets: Sequence[str], fmt: str = "parquet",
-                     staging: str | None = None) -> list[str]:
+                     staging: str | None = None, stamp: str = "", money_scale: Mapping[str, int] | None = None) -> list[str]:
     """Overwrite every target with ``df``; the plan runs once.
 
     Without ``staging`` the first target is written from ``df`` and the others are copied from
     that written table. With ``staging`` (a path in the shared folder, e.g. one per run id) the
-    plan is written there first and every target is a copy; a rerun with the same staging path
-    after a driver failure finds the committed table and only redoes the copies. Executor loss
-    is covered by task retries (every plan here is deterministic). An overwrite removes the old
-    files when its job starts, so a target whose copy fails is incomplete until the copy is
-    rerun, like the cleared sheets this replaces.
+    plan is written there first and every target is a copy; a rerun with the same staging path and
+    the same fingerprint ``stamp`` after a driver failure finds the committed table and only redoes
+    the copies. Executor loss is covered by task retries (every plan here is deterministic). A target
+    whose copy fails keeps its old version. ``fmt="csv"`` publishes the blank-filled text export.
     """
     if not targets:
         return []
-    spark = df.sparkSession
-    if staging is None:
-        first, rest = targets[0], list(targets[1:])
-        df.write.mode("overwrite").format(fmt).save(first)
-        source = spark.read.format(fmt).load(first)
-    else:
-        rest = list(targets)
-        source = committed_table(spark, staging, fmt)
-        if source is None:
-            df.write.mode("overwrite").format(fmt).save(staging)
-            source = spark.read.format(fmt).load(staging)
-    for target in rest:
-        source.write.mode("overwrite").format(fmt).save(target)
+    source, text = df, fmt == "csv"
+    if staging is not None:
+        source = stage_table(df, staging, stamp)
+    for i, target in enumerate(targets):
+        written = publish_text(source, target, money_scale) if text else publish_table(source, target, fmt)
+        if i == 0 and staging is None and not text:
+            source = written
     return list(targets)
 
 
@@ -94,22 +196,23 @@ def publish_margin(
     as_of: dt.datetime,
     days: int = 90,
     fmt: str = "parquet",
-    staging: str | None = None,
+    staging: str,
+    stamp: str = "",
+    money_scale: Mapping[str, int] | None = None,
 ) -> dict[str, list[str]]:
     """The whole publication step: the margin base to every full target, the delivered deals
     of the trailing window to one target, the refurb cost to one target.
 
-    The margin plan runs once (first full target); the other full targets and the trailing
-    subset are derived from that written table, filtering on its typed date column.
+    The margin plan runs once, into ``staging``; the full targets and the trailing subset are derived
+    from that written table, filtering on its typed date column. ``fmt="csv"`` publishes every margin
+    target as blank-filled text.
     """
-    written = publish_snapshot(margin, full_targets, fmt, staging=staging)
-    out = {"full": written, "trailing": [], "refurb": []}
-    if trailing_target and written:
-        base = margin.sparkSession.read.format(fmt).load(staging or written[0])
+    base = stage_table(margin, staging, stamp)
+    out = {"full": publish_snapshot(base, full_targets, fmt, money_scale=money_scale), "trailing": [], "refurb": []}
+    if trailing_target:
         trailing = trailing_window(base, "delivery_time", as_of, days, status_col="deal_status", status="Delivered")
-        trailing.write.mode("overwrite").format(fmt).save(trailing_target)
-        out["trailing"] = [trailing_target]
+        out["trailing"] = publish_snapshot(trailing, [trailing_target], fmt, money_scale=money_scale)
     if refurb_target:
-        refurb.write.mode("overwrite").format(fmt).save(refurb_target)
+        publish_table(refurb, refurb_target)
         out["refurb"] = [refurb_target]
     return out

@@ -28,17 +28,13 @@ def read_table(
 class Tables:
     """Lazy, cached-by-name access to the parquet tables of one folder.
 
-    Frames are shared by every ``Tables`` of the same session and folder, so the file listing
-    and footer schema of a table are resolved once per process, not once per query.
-    """
-
-    _shared: dict[tuple[int, str, str], dict[str, DataFrame]] = {}
+    The frames belong to this object: a table that is rewritten under the same path is listed anew
+    by the next ``Tables``."""
 
     def __init__(self, spark: SparkSession, base_dir: str):
         self.spark = spark
         self.base_dir = base_dir
-        key = (id(spark), spark.sparkContext.applicationId, base_dir)
-        self._frames = Tables._shared.setdefault(key, {})
+        self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -46,8 +42,8 @@ class Tables:
         return self._frames[name]
 
     def memo(self, name: str, build) -> DataFrame:
-        """Build a derived (lazy) DataFrame once per session and folder. Only the plan object
-        is shared; every action on it still executes the plan in full."""
+        """Build a derived (lazy) DataFrame once per object. Only the plan is shared; every action
+        on it still executes the plan in full."""
         key = f"memo:{name}"
         if key not in self._frames:
             self._frames[key] = build()

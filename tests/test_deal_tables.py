@@ -90,7 +90,7 @@ def test_deal_master_on_deal_tables(spark):
         "web_article": [(500, "https://site.example/ad")],
     }
     tb = {name: spark.createDataFrame(rows.get(name, []), schema) for name, schema in SCHEMAS.items()}
-    dm = deal_master_from_tables(tb, category="bcm", hub_rules=[("%Example Mall%", "Example Mall")],
+    dm = deal_master_from_tables(tb, category="bcm", source_labels=[(187, "Portal")], hub_rules=[("%Example Mall%", "Example Mall")],
                                  url_rules=[("%example%", "Example")])
     assert dm.columns == MASTER_COLUMNS
     got = {r.deal_id: r for r in dm.collect()}

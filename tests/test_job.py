@@ -2,9 +2,13 @@
 
 import datetime as dt
 
+import pytest
+
 from forecourt.job import run
 from forecourt.plans.registry import QUERIES, load_all
-from forecourt.session import shared_dir
+from forecourt.session import scratch_path, shared_dir
+from forecourt.sinks import publish as P
+from forecourt.sinks.publish import published_table
 
 load_all()
 SF = "/root/testdata/sf0.001"
@@ -15,9 +19,9 @@ def test_job_publishes_all_targets(spark):
     written = run(spark, "test", SF, out, copies=3, as_of=dt.datetime(2001, 8, 1))
     assert len(written["full"]) == 3 and written["trailing"] and written["refurb"]
     n = QUERIES["margin_base"](spark, SF).count()
-    assert all(spark.read.parquet(p).count() == n for p in written["full"])
-    assert spark.read.parquet(written["trailing"][0]).count() == QUERIES["publish_trailing"](spark, SF).count()
-    assert spark.read.parquet(written["refurb"][0]).count() == QUERIES["refurb_cost_per_vehicle"](spark, SF).count()
+    assert all(published_table(spark, p).count() == n for p in written["full"])
+    assert published_table(spark, written["trailing"][0]).count() == QUERIES["publish_trailing"](spark, SF).count()
+    assert published_table(spark, written["refurb"][0]).count() == QUERIES["refurb_cost_per_vehicle"](spark, SF).count()
 
 
 def test_rerun_with_run_id_reuses_committed_stages(spark):
@@ -29,7 +33,7 @@ def test_rerun_with_run_id_reuses_committed_stages(spark):
     # a second run with the same id copies from the committed stage instead of recomputing
     second = run(spark, "test", SF, out, copies=2, as_of=dt.datetime(2001, 8, 1), run_id="resume-check")
     assert first == second
-    assert all(spark.read.parquet(p).count() == n for p in second["full"])
+    assert all(published_table(spark, p).count() == n for p in second["full"])
 
 
 def test_job_on_warehouse_layout(spark):
@@ -73,12 +77,65 @@ def test_job_on_warehouse_layout(spark):
     for name, schema in schemas.items():
         spark.createDataFrame(rows.get(name, []), schema).write.mode("overwrite").parquet(f"{data}/{name}.parquet")
     rules = {"category": "bcm", "city_rules": [["%North%", "North"]], "hub_rules": [], "url_rules": []}
+    with pytest.raises(ValueError, match="187"):  # its label has no default
+        run(spark, "warehouse", data, None, copies=1, as_of=dt.datetime(2021, 12, 1), rules=rules)
+    rules["source_labels"] = [[187, "Portal"]]  # added to the defaults: 356 keeps its label
     out = shared_dir(spark, "warehouse-layout-out")
     written = run(spark, "warehouse", data, out, copies=2, as_of=dt.datetime(2021, 12, 1), rules=rules)
-    margin = spark.read.parquet(written["full"][0])
+    margin = published_table(spark, written["full"][0])
     got = {r.deal_id: (r.deal_status, r.sub_sub_source_f, r.actual_refurb_cost) for r in margin.collect()}
     # deal 1 (previous delivered deal of the month) and 2 (latest of the month) are selected;
     # vehicle 20 has refurb cost 0.82 * (2 * 10 + 5)
     assert got == {1: ("Delivered", "Inbound", Decimal("0.82") * Decimal("25.00")),
                    2: ("Pending", "Inbound", None)}
-    assert spark.read.parquet(written["refurb"][0]).count() == 1
+    assert published_table(spark, written["refurb"][0]).count() == 1
+
+
+def test_partial_or_foreign_stage_is_rebuilt(spark):
+    df = spark.range(100).repartition(4)
+    path = scratch_path(spark, "stage-test") + "/table"
+    df.write.parquet(path)
+    folder = P._Folder(spark, path)
+    # parts without the commit marker, then with it but without a manifest
+    folder.drop("_SUCCESS")
+    folder.drop(next(f.getPath().getName() for f in folder.fs.listStatus(folder.path()) if f.getPath().getName().startswith("part")))
+    assert P.committed_table(spark, path, "a") is None
+    assert P.stage_table(df, path, "a").count() == 100
+    assert P.committed_table(spark, path, "a").count() == 100
+    # other inputs or rules under the same path
+    assert P.committed_table(spark, path, "b") is None
+    assert P.stage_table(spark.range(7).toDF("id"), path, "b").count() == 7
+    # rows lost after the commit
+    folder.drop(next(f.getPath().getName() for f in folder.fs.listStatus(folder.path()) if f.getPath().getName().startswith("part")))
+    assert P.committed_table(spark, path, "b") is None
+
+
+def test_changed_input_under_one_run_id_is_rebuilt(spark):
+    data = scratch_path(spark, "inputs")
+    spark.range(3).write.parquet(f"{data}/t.parquet")
+    one = P.fingerprint(spark, [data], as_of="2021")
+    assert one == P.fingerprint(spark, [data], as_of="2021") != P.fingerprint(spark, [data], as_of="2022")
+    spark.range(4).write.mode("overwrite").parquet(f"{data}/t.parquet")
+    assert one != P.fingerprint(spark, [data], as_of="2021")
+
+
+def test_failed_copy_leaves_the_old_target_readable(spark):
+    from pyspark.sql import functions as F
+
+    target = scratch_path(spark, "target")
+    P.publish_table(spark.range(5), target)
+    broken = spark.range(10).select(F.when(F.col("id") < 9, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        P.publish_table(broken, target)
+    assert sorted(r.id for r in published_table(spark, target).collect()) == list(range(5))
+    P.publish_table(spark.range(2), target)
+    assert published_table(spark, target).count() == 2
+    assert len(P._Folder(spark, target).folders()) == 1
+
+
+def test_text_target_has_blanks_and_a_header(spark):
+    out = scratch_path(spark, "text-job")
+    written = run(spark, "test", SF, out, copies=1, as_of=dt.datetime(2001, 8, 1), fmt="csv")
+    back = published_table(spark, written["full"][0], "csv", P.TEXT_OPTIONS)
+    want = QUERIES["blank_fill_export"](spark, SF)
+    assert back.columns == want.columns and back.exceptAll(want).count() == 0 and back.count() == want.count()
