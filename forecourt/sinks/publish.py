@@ -123,8 +123,10 @@ def published_table(spark: SparkSession, target: str, fmt: str = "parquet",
     return spark.read.schema(schema).options(**(options or {})).format(fmt).load(f"{target}/{version}")
 
 
-#: Text export: a header; blanks are quoted empty fields, which read back as empty, not null.
-TEXT_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+#: Text export: a header, quotes doubled, spaces kept. The export has no nulls; their mark is one that no
+#: value has, so that blanks read back as blanks.
+TEXT_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "nullValue": "\u0001",
+                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def publish_text(df: DataFrame, target: str, money_scale: Mapping[str, int] | None = None) -> DataFrame:
