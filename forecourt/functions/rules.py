@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------------------------
 # Fixed values (must equal the source workload's for identical results).
@@ -137,21 +136,17 @@ def _check_unique(rules: Sequence[tuple], width: int) -> None:
 _check_unique(LOAN_RULES_3, 3)
 _check_unique(LOAN_RULES_2, 2)
 
-_RULE3_SCHEMA = T.StructType([
-    T.StructField("_r3_lead", T.IntegerType(), False),
-    T.StructField("_r3_bank", T.IntegerType(), False),
-    T.StructField("_r3_deal", T.StringType(), False),
-    T.StructField("_r3_out", T.StringType(), False),
-])
-_RULE2_SCHEMA = T.StructType([
-    T.StructField("_r2_lead", T.IntegerType(), False),
-    T.StructField("_r2_deal", T.StringType(), False),
-    T.StructField("_r2_out", T.StringType(), False),
-])
+def _values(spark: SparkSession, rows: Sequence[tuple], columns: str) -> DataFrame:
+    """Rows of whole numbers and strings as an inline table (a local relation of the plan)."""
+    def cell(v) -> str:
+        return str(v) if isinstance(v, int) else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    inline = ", ".join("(" + ", ".join(map(cell, r)) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {inline} AS t({columns})")
 
 
 def rule_frames(spark: SparkSession, tier3=LOAN_RULES_3, tier2=LOAN_RULES_2) -> tuple[DataFrame, DataFrame]:
-    return (spark.createDataFrame(tier3, _RULE3_SCHEMA), spark.createDataFrame(tier2, _RULE2_SCHEMA))
+    return (_values(spark, tier3, "_r3_lead, _r3_bank, _r3_deal, _r3_out"),
+            _values(spark, tier2, "_r2_lead, _r2_deal, _r2_out"))
 
 
 def decision_table(

@@ -67,12 +67,12 @@ def loan_status_from_tables(tb: Mapping[str, DataFrame]) -> DataFrame:
     """CP3 on the loan tables: latest application per deal, its latest bank application, the
     bank name, the two status-log pivots (by bank application and by application), the deal's
     status and flags, the decision table, DISTINCT."""
-    sla = latest.latest_per_key(tb["loan_app"].select("id", "deal_id", "created_at", "lead_status"),
+    applications = latest.latest_per_key(tb["loan_app"].select("id", "deal_id", "created_at", "lead_status"),
                                 ["deal_id"], "id", how="semi")
-    labla = latest.latest_per_key(
+    fundings = latest.latest_per_key(
         tb["bank_loan_app"].select("id", "loan_app_id", "bank_id", "status", "net_disbursed_amount"),
         ["loan_app_id"], "id", how="semi")
-    labla = _sel(labla, _ba_id="id", _ba_app="loan_app_id", _ba_bank="bank_id", bank_status="status",
+    fundings = _sel(fundings, _ba_id="id", _ba_app="loan_app_id", _ba_bank="bank_id", bank_status="status",
                  net_disbursed_amount="net_disbursed_amount")
     bank = _sel(tb["bank"], _bank="id", loan_vendor="display_name")
     log = tb["loan_log"]
@@ -81,16 +81,16 @@ def loan_status_from_tables(tb: Mapping[str, DataFrame]) -> DataFrame:
     by_app = aggs.status_pivot(log, "loan_application_id", "created_at", "loan_status",
                                LOAN_LOG_SPECS, offset_minutes=C.LOCAL_OFFSET_MINUTES)
     status = _sel(tb["status"], _st="id", deal_status="description")
-    com = (tb["deal"].select(F.col("id").alias("_com_deal"), "status_id", "loan_facilitation", "self_loan")
+    agreed = (tb["deal"].select(F.col("id").alias("_agreed_deal"), "status_id", "loan_facilitation", "self_loan")
            .join(status, F.col("_st") == F.col("status_id")))
-    j = (sla.join(labla, F.col("_ba_app") == F.col("id"), "left")
+    j = (applications.join(fundings, F.col("_ba_app") == F.col("id"), "left")
             .join(bank, F.col("_bank") == F.col("_ba_bank"), "left")
             .join(by_bank, F.col("bank_loan_application_id") == F.col("_ba_id"), "left")
             .join(by_app, F.col("loan_application_id") == F.col("id"), "left")
-            .join(com, F.col("_com_deal") == F.col("deal_id")))
+            .join(agreed, F.col("_agreed_deal") == F.col("deal_id")))
     j = rules.decision_table(j, "lead_status", "bank_status", "deal_status")
     return j.select(
-        F.col("id").alias("loan_id"), F.col("_com_deal").alias("deal_id"),
+        F.col("id").alias("loan_id"), F.col("_agreed_deal").alias("deal_id"),
         C.local_time("created_at").alias("loan_confirmation_date"),
         C.nullif("app_login_date", "bank_login_date").alias("login_date"),
         C.nullif("app_rejected_date", "rejected_date_bank").alias("rejected_date"),
@@ -184,8 +184,8 @@ def deal_master_from_tables(
 
     tasks = tb["user_task"].filter((F.col("context_type_id") == INSIDE_SALES_CONTEXT_TYPE)
                                    & F.col("finished_by_id").isNotNull())
-    iss = latest.owner_by_max_id(tasks, "context_id", "finished_by_id", users, "id", "full_name", "inside_sales")
-    iss = iss.withColumnRenamed("context_id", "_iss_lead")
+    closers = latest.owner_by_max_id(tasks, "context_id", "finished_by_id", users, "id", "full_name", "inside_sales")
+    closers = closers.withColumnRenamed("context_id", "_closer_lead")
     contact = tb["contact"].select(F.col("id").alias("_cd"), F.col("name").alias("_buyer_name"),
                                    F.col("contact_number").alias("_buyer_number"))
     visits = (tb["visit"].filter(F.col("visit_start_time").isNotNull() & (F.col("visit_type_id") == VISIT_TYPE)
@@ -197,13 +197,13 @@ def deal_master_from_tables(
     prices = tb["price_value"].filter((F.col("label_id") == LISTING_PRICE_LABEL)
                                       & (F.col("target_object_type_id") == LISTING_PRICE_TARGET_TYPE)
                                       & F.col("created_by_id").isNotNull())
-    lpr = _sel(latest.latest_per_key(prices.select("id", "target_object_id", "value"), ["target_object_id"], "id",
-                                     how="max_by"), _lpr_lead="target_object_id", listing_price="value")
+    asked_prices = _sel(latest.latest_per_key(prices.select("id", "target_object_id", "value"), ["target_object_id"], "id",
+                                     how="max_by"), _asked_lead="target_object_id", listing_price="value")
     pay = (tb["payment_order"].filter(F.col("context_type_id") == DEAL_CONTEXT_TYPE)
            .join(tb["payment"], F.col("order_id") == tb["payment_order"]["id"], "left")
            .join(_sel(tb["payment_item"], _item="id", item_name="name"), F.col("_item") == F.col("item_id"), "left")
            .filter((F.col("item_name") == TOKEN_ITEM) & (F.col("status") == APPROVED)))
-    pp = pay.groupBy(F.col("context_id").alias("_pp_deal")).agg(F.sum("amount").alias("token_amount"))
+    token_payments = pay.groupBy(F.col("context_id").alias("_token_deal")).agg(F.sum("amount").alias("token_amount"))
     receivables = (tb["receivable"].filter(F.col("status") == APPROVED)
                    .groupBy("contract_id").agg(F.sum("amount").alias("_contract_sum")))
     per_deal_receivable = (tb["contract"].join(receivables, F.col("contract_id") == tb["contract"]["id"], "left")
@@ -225,7 +225,7 @@ def deal_master_from_tables(
               .filter(C.utc_floor("created_time", created_floor) & (F.col("_bl_category") == category)
                       & ~F.col("description").isin(*rules.EXCLUDED_DEAL_STATUSES))
               # buy-lead keyed
-              .join(iss, F.col("_iss_lead") == F.col("buy_lead_id"), "left")
+              .join(closers, F.col("_closer_lead") == F.col("buy_lead_id"), "left")
               .join(visits, F.col("_v_lead") == F.col("buy_lead_id"), "left")
               .join(sources, F.col("_src_lead") == F.col("buy_lead_id"), "left")
               .join(contact, F.col("_cd") == F.col("_bl_contact"), "left")
@@ -233,7 +233,7 @@ def deal_master_from_tables(
               .join(lead, F.col("_l") == F.col("sell_lead_id"), "left")
               .join(listing, (F.col("_ll_lead") == F.col("sell_lead_id")) & F.col("_l").isNotNull(), "left")
               .join(procured, F.col("_pc_lead") == F.col("sell_lead_id"), "left")
-              .join(lpr, F.col("_lpr_lead") == F.col("sell_lead_id"), "left")
+              .join(asked_prices, F.col("_asked_lead") == F.col("sell_lead_id"), "left")
               .join(insurance, F.col("_lrv_lead") == F.col("sell_lead_id"), "left")
               .join(profile, F.col("_lp") == F.col("_l_profile"), "left")
               .join(names["make"], F.col("_make") == F.col("make_id"), "left")
@@ -242,7 +242,7 @@ def deal_master_from_tables(
               .join(names["hub"], F.col("_hub") == F.col("deal_hub_id"), "left")
               .join(hub_sales, F.col("_creator") == F.col("created_by_id"), "left")
               # deal keyed, last: the final GROUP BY contains the deal id
-              .join(pp, F.col("_pp_deal") == F.col("id"), "left")
+              .join(token_payments, F.col("_token_deal") == F.col("id"), "left")
               .join(per_deal_receivable, F.col("_pr_deal") == F.col("id"), "left")
               .join(refund, F.col("_cpr_deal") == F.col("id"), "left")
               .join(loan, F.col("_loan_deal") == F.col("id"), "left"))

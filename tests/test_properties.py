@@ -150,3 +150,26 @@ def test_bucketed_lag_on_a_million_rows_with_a_hot_group(spark):
         assert got.count() == 1_000_000 and diff.count() == 0
     finally:
         spark.conf.set("spark.sql.exchange.reuse", old)
+
+
+#: Labels typed in by hand from the rules of the workload: (lead status, bank status, deal status) -> label.
+HAND_LABELS = [
+    (0, 0, "Token Collected", "Loan Logged In"), (0, 0, "Deal Cancelled", "Customer Not Interested"),
+    (3, 0, "Deal Cancelled", "Application Rejected - Loan not possible"), (6, 2, "Token Collected", "Additional Documents Required"),
+    (4, 4, "Delivery Done", "Loan Approved"), (5, 4, "Deal Cancelled", "Loan approved - Cancelled by Customer"),
+    (6, 5, "Token Collected", "Loan Rejected"), (0, 6, "Delivery Done", "Loan Kit Signed"), (6, 6, "Car Returned", "Loan Kit Signed"),
+    (5, 7, "Delivery Done", "Loan Disbursed"), (4, 8, "Delivery Done", "Loan approved - Cancelled by Customer"),
+    # second tier: no arm for the bank status
+    (0, None, "Car Delivered", "Application received"), (0, 8, "default-status", "Application received"),
+    (2, 0, "Token Collected", "Application received"), (4, None, "Delivery Done", "AUTO_CLOSED"),
+    (5, None, "Delivery Done", "Documents received"), (6, 1, "Delivery Done", "Loan Logged In"),
+    (1, 6, "Token Collected", "Customer Not Interested"),
+    # no arm at all
+    (3, 0, "Delivery Done", "Others"), (None, 4, "Delivery Done", "Others"), (2, 4, "Car Returned", "Others"), (6, 4, None, "Others"),
+]
+
+
+def test_decision_table_gives_the_labels_typed_by_hand(spark):
+    df = spark.createDataFrame([r[:3] for r in HAND_LABELS], "lead int, bank int, deal string")
+    got = {(r.lead, r.bank, r.deal): r.loan_flow_status for r in rules.decision_table(df, "lead", "bank", "deal").collect()}
+    assert got == {r[:3]: r[3] for r in HAND_LABELS}
