@@ -111,3 +111,54 @@ def test_deal_master_on_deal_tables(spark):
     assert mb.columns == MASTER_COLUMNS + ["actual_refurb_cost"]
     costs = {r.deal_id: r.actual_refurb_cost for r in mb.collect()}
     assert costs == {1: 12.5, 2: None, 3: None}
+
+
+def test_fan_outs_and_hidden_keys_by_hand(spark):
+    """Several contracts, refund requests and procured cars on one deal; the external-request chain; a hidden
+    key (the loan's confirmation date) that splits a deal."""
+    rows = {
+        "status": [(2, "Token Collected")],
+        "deal": [_deal(1, 10, 20, 2, _d(2021, 10, 5)), _deal(2, 11, 21, 2, _d(2021, 10, 6))],
+        "buy_lead": [(10, "bcm", 100, 321, 600), (11, "bcm", 100, 187, 1)],
+        "contact": [(100, "Buyer", "99999")],
+        "content_type": [(321,), (187,)],
+        "ext_request": [(600, 70)], "ext_listing": [(70, 80)], "platform_account": [(80, 90)], "platform": [(90, "Autosite")],
+        "lead": [(20, 200, "P"), (21, 201, "P")],
+        "visit": [(10, 7, _d(2021, 10, 2), 2, 1), (10, 8, _d(2021, 10, 3), 2, 1)],
+        "contract": [(900, 1), (901, 1), (902, 2)],
+        "receivable": [(900, Decimal("100.00"), "approved"), (900, Decimal("50.00"), "approved"),
+                       (901, Decimal("30.00"), "approved"), (901, Decimal("9.00"), "pending"), (902, Decimal("5.00"), "approved")],
+        "refund_request": [(1, "open"), (1, "open"), (1, "closed")],
+        "procured_car": [(20, Decimal("10.00"), 1), (20, Decimal("20.00"), 2)],
+    }
+    tb = {name: spark.createDataFrame(rows.get(name, []), schema) for name, schema in SCHEMAS.items()}
+    dm = deal_master_from_tables(tb, category="bcm", source_labels=[(187, "Portal")], hub_rules=[], url_rules=[])
+    got = sorted((r.deal_id, r.refund_status or "", r.procurement_price, r.payment_amount, r.sub_sub_source_f) for r in dm.collect())
+    # (100 + 50 + 30) x 2 visit rows = 360; the status 'open' stands twice, so its groups hold 720
+    ten, twenty = Decimal("10.00"), Decimal("20.00")
+    assert got == [(1, "closed", ten, Decimal("360.00"), "Autosite"), (1, "closed", twenty, Decimal("360.00"), "Autosite"),
+                   (1, "open", ten, Decimal("720.00"), "Autosite"), (1, "open", twenty, Decimal("720.00"), "Autosite"),
+                   (2, "", None, Decimal("5.00"), "Portal")]
+
+
+def test_two_metadata_rows_double_the_invoice(spark):
+    from forecourt.plans.refurb import refurb_cost, refurb_inputs_from_tables
+
+    ts = _d(2021, 10, 5)
+    tb = {
+        "invoice": spark.createDataFrame([(1, 11, 100, 500, 3, "INV-1", ts, ts, None), (2, 12, 100, 501, 3, "INV-2", ts, ts, None)],
+                                         "id long, job_card_id long, car_id long, refurb_car_id long, vendor_id long, "
+                                         "invoice_no string, created_at timestamp_ntz, in_date timestamp_ntz, out_date timestamp_ntz"),
+        "workshop": spark.createDataFrame([(3, "North Works")], "id long, name string"),
+        "invoice_meta": spark.createDataFrame([(1, "A"), (1, "B"), (2, "REFURB"), (2, "SOLD")], "invoice_id long, refurb_category string"),
+        "car": spark.createDataFrame([(100, 20, "REG20")], "id long, object_id long, registration_no string"),
+        "refurb_car": spark.createDataFrame([(500, 3, "REFURB"), (501, 3, None)], "id long, workshop_id long, refurb_category string"),
+        "job_row": spark.createDataFrame([(1, 2, Decimal("10.00"), Decimal("5.00")), (2, 1, Decimal("4.00"), Decimal("0.00"))],
+                                         "invoice_id long, part_count int, part_cost decimal(18,2), labour_cost decimal(18,2)"),
+        "refurb_user": spark.createDataFrame([(1, "Asha", "Rao")], "id long, first_name string, last_name string"),
+        "job_card_user": spark.createDataFrame([(11, 1)], "job_card_id long, user_id long"),
+    }
+    cost = refurb_cost(*refurb_inputs_from_tables(tb, [])).collect()
+    # invoice 1: the car's category holds for both metadata rows, 2 x 25; invoice 2: the category of its own rows, one of
+    # them not allowed, 1 x 4; (50 + 4) x 0.82
+    assert [(r.sell_lead_id, r.reg_no, r.actual_refurb_cost) for r in cost] == [(20, "REG20", Decimal("0.82") * Decimal("54.00"))]
