@@ -40,6 +40,17 @@ def byte_letters() -> dict[int, int]:
     return {b: 256 + i for i, b in enumerate(rest)}
 
 
+def byte_level_chunks(texts: pa.Array) -> pa.ListArray:
+    """Each text (large_string, no nulls) cut at the safe cuts of the byte-level pattern."""
+    data = texts.buffers()[2]
+    held = data.to_pybytes() if data is not None else b""
+    mark = next((c for c in map(chr, [0, *range(1, 9), *range(14, 28)]) if c.encode() not in held), None)
+    if mark is None:  # every mark stands in some text: no cut
+        return pa.LargeListArray.from_arrays(np.arange(len(texts) + 1), texts)
+    texts = pc.replace_substring_regex(texts, AFTER_LETTER, rf"\1{mark}\2")
+    return pc.split_pattern(pc.replace_substring_regex(texts, BEFORE_SPACE, rf"\1{mark} "), mark)
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -52,19 +63,13 @@ class Encoder:
 
     def chunks(self, texts: pa.Array) -> pa.ListArray:
         """Each text cut into chunks; chunks of the word vocabulary may be empty."""
-        if not self.byte_level:
-            # folding A-Z early only merges chunks; beside a combining mark it could change composition
-            plain = pc.invert(pc.match_substring_regex(texts, r"\pM"))
-            texts = pc.if_else(plain, pc.ascii_lower(texts), texts)
-            texts = pc.replace_substring_regex(texts, AFTER_LETTER, r"\1 \2")
-            return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        data = texts.buffers()[2]
-        held = data.to_pybytes() if data is not None else b""
-        mark = next((c for c in map(chr, [0, *range(1, 9), *range(14, 28)]) if c.encode() not in held), None)
-        if mark is None:  # every mark stands in some text: no cut
-            return pa.LargeListArray.from_arrays(np.arange(len(texts) + 1), texts)
-        texts = pc.replace_substring_regex(texts, AFTER_LETTER, rf"\1{mark}\2")
-        return pc.split_pattern(pc.replace_substring_regex(texts, BEFORE_SPACE, rf"\1{mark} "), mark)
+        if self.byte_level:
+            return byte_level_chunks(texts)
+        # folding A-Z early only merges chunks; beside a combining mark it could change composition
+        plain = pc.invert(pc.match_substring_regex(texts, r"\pM"))
+        texts = pc.if_else(plain, pc.ascii_lower(texts), texts)
+        texts = pc.replace_substring_regex(texts, AFTER_LETTER, r"\1 \2")
+        return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
 
     def one_piece(self, chunk: str) -> bool:
         """Whether the chunk is one run of Latin letters, so that the model's merges alone decide."""
