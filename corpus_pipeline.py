@@ -22,7 +22,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from forecourt.llm import packing, quality_model, quality_rules, simhash, substring
-from forecourt.llm.common import materialise
+from forecourt.llm.common import drop, scratch
 from forecourt.llm.queries import BYTE_VOCABULARY
 from forecourt.sources.tables import read_table
 
@@ -59,8 +59,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to ``documents`` and return the rows of the last."""
-    docs = read_table(spark, sf_dir, "documents")
+    """Apply all stages to ``documents`` and return the rows of the last. A stage's files go as soon as
+    the next stage's are written."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = scratch(spark, f"stage-{name}")
+        result = stage(spark, docs, sf_dir)
+        result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        if before:
+            drop(spark, before)
+        before = path
     return docs

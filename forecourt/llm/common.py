@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from forecourt.session import shared_dir
@@ -27,6 +27,12 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return path
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing will read again."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: later steps start from files
     every executor sees, so a lost executor never repeats what came before."""
@@ -77,3 +83,21 @@ def byte_sized(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Ite
         for lo, hi in zip(cuts, cuts[1:]):
             if hi > lo:
                 yield b.slice(lo, hi - lo)
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with rid: unique, and in the order of doc_id. Unique ids serve as they are; else the
+    rows are numbered by (doc_id, with nulls last), rows with equal ids in the order they were written."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("d"))
+    odd = ids.groupBy("d").count().where("count > 1 OR d IS NULL").limit(1).count()
+    if not odd:
+        return docs.withColumn("rid", F.col("doc_id").cast("long"))
+    rows = materialise(docs.withColumn("row_", F.monotonically_increasing_id()), "rows")
+    parts = shuffle_partitions(docs.sparkSession)
+    keys = rows.select(F.col("doc_id").isNull().alias("n"), F.col("doc_id").cast("long").alias("d"), "row_")
+    ranged = materialise(keys.repartitionByRange(parts, "n", "d", "row_").withColumn("p", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy("p").agg(F.count(F.lit(1)).alias("size"))
+    before = sizes.select("p", (F.sum("size").over(Window.orderBy("p")) - F.col("size")).alias("before"))
+    rank = F.row_number().over(Window.partitionBy("p").orderBy("n", "d", "row_"))
+    order = ranged.withColumn("k", rank).join(before, "p").select("row_", (F.col("before") + F.col("k")).alias("rid"))
+    return rows.join(order, "row_").drop("row_")

@@ -64,8 +64,8 @@ def statistics(text: bytes) -> list[float]:
 
 
 def with_statistics(docs: DataFrame, carry: Sequence[str], text: str = "text") -> DataFrame:
-    """row (struct of the ``carry`` columns), doc_id, x (array of statistics)."""
-    row = F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")
+    """row (struct of the ``carry`` columns, if any), doc_id, x (array of statistics)."""
+    row = (F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(True)).alias("row")
     step = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("t"))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,6 +220,14 @@ def quality_labels(labels: DataFrame) -> DataFrame:
                     (3 - fold).cast("int").alias("part")))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier predicts as 1, with all their columns."""
-    return classify(docs, quality_labels(labels), docs.columns).where("predicted = 1").select("row.*")
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` scored at least ``threshold``, with all their columns. Only the statistics are
+    written for the training; the verdict takes them a second time in one pass over the texts."""
+    model = train(materialise(with_statistics(docs, []).drop("row"), "statistics"), quality_labels(labels))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in byte_sized(batches, "text", 16_000_000):
+            x = np.array([statistics(t) for t in texts(b.column("text"))])
+            yield b.filter(pa.array(model(x) >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -132,20 +132,16 @@ def fences(sketch: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "source").agg(*out)
 
 
-def judge(docs: DataFrame, carry: Sequence[str], text: str = "text") -> DataFrame:
-    """row, the counts, base_failed, kept for every row of ``docs``.
-
-    ``carry`` names the columns that come along in ``row``; ``lang`` and ``source`` are used for
-    the groups and count as null where the table has no such column.
-    """
+def _counted(docs: DataFrame, carry: Sequence[str], text: str) -> DataFrame:
+    """row (the ``carry`` columns), lang, source and the counts."""
     for name in ("lang", "source"):
         if name not in docs.columns:
             docs = docs.withColumn(name, F.lit(None).cast("string"))
-    own = [c for c in docs.columns if c in carry]
-    counted = with_counts(docs, list(dict.fromkeys([*own, "lang", "source"])), text)
-    counted = materialise(counted.withColumns({"lang": F.col("row.lang").cast("string"),
-                                               "source": F.col("row.source").cast("string")}), "counts")
-    limits = materialise(fences(sketches(counted)), "fences")
+    counted = with_counts(docs, list(dict.fromkeys([*carry, "lang", "source"])), text)
+    return counted.withColumns({"lang": F.col("row.lang").cast("string"), "source": F.col("row.source").cast("string")})
+
+
+def _judged(counted: DataFrame, limits: DataFrame, carry: Sequence[str]) -> DataFrame:
     side = F.broadcast(limits) if limits.count() <= BROADCAST_GROUPS else limits
     joined = counted.alias("d").join(side.alias("f"), F.expr("d.lang <=> f.lang AND d.source <=> f.source"), "left")
     fits = F.lit(True)
@@ -154,17 +150,22 @@ def judge(docs: DataFrame, carry: Sequence[str], text: str = "text") -> DataFram
         fits = fits & (value <= F.col(f"f.hi_{m}"))
         if low:
             fits = fits & (value >= F.col(f"f.lo_{m}"))
-    failed = base_failed()
-    row = F.struct(*[F.col(f"d.row.`{c}`").alias(c) for c in own])
-    return joined.select(row.alias("row"), *[F.col(f"d.{c}").alias(c) for c in COUNTS], failed.alias("base_failed"),
-                         F.when(failed, False).otherwise(F.coalesce(fits, F.lit(True))).alias("kept"))
+    row = F.struct(*[F.col(f"d.row.`{c}`").alias(c) for c in carry])
+    return joined.select(row.alias("row"), *[F.col(f"d.{c}").alias(c) for c in COUNTS], base_failed().alias("base_failed"),
+                         F.when(base_failed(), False).otherwise(F.coalesce(fits, F.lit(True))).alias("kept"))
 
 
-def quality_rules(docs: DataFrame) -> DataFrame:
-    """doc_id, the counts, base_failed and kept."""
-    return judge(docs, ["doc_id"]).select("row.doc_id", *COUNTS, "base_failed", "kept")
+def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id, the counts, base_failed and kept. ``lang`` and ``source`` are used for the groups and count
+    as null where the table has no such column."""
+    counted = materialise(_counted(docs, ["doc_id"], text), "counts")
+    limits = materialise(fences(sketches(counted)), "fences")
+    return _judged(counted, limits, ["doc_id"]).select("row.doc_id", *COUNTS, "base_failed", "kept")
 
 
-def keep_passing(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
-    return judge(docs, docs.columns).where("kept").select("row.*")
+def keep_passing(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns. The counts are written with the
+    rows: taken lazily, the optimizer would copy their expressions into every condition."""
+    counted = materialise(_counted(docs, docs.columns, text), "counts")
+    limits = materialise(fences(sketches(counted)), "fences")
+    return _judged(counted, limits, docs.columns).where("kept").select("row.*")

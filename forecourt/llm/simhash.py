@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import byte_sized, materialise, shuffle_partitions, texts
+from forecourt.llm.common import byte_sized, materialise, numbered, shuffle_partitions, texts
 
 BITS = 64
 SHINGLE = 3
@@ -350,14 +350,10 @@ def simhash(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component one row stays, one with the
-    smallest doc_id (a row without id only where no member has one)."""
-    fp, row = "fp", "row"
-    while fp in docs.columns or row in docs.columns:
-        fp, row = fp + "_", row + "_"
-    # the row numbers are written with the rows, so every later step sees the same ones
-    rows = materialise(with_fingerprint(docs, fp).withColumn(row, F.monotonically_increasing_id()), "fingerprinted")
-    slim = rows.select("doc_id", F.col(fp).alias("fp"), F.col(row).alias("row"))
-    kept = (slim.join(near_duplicates(slim.select("doc_id", "fp")), "fp").groupBy("root")
-            .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "row")).alias("best"))
-            .select(F.col("best.row").alias("kept_row")))
-    return rows.join(kept, F.col(row) == F.col("kept_row"), "left_semi").select(*docs.columns)
+    smallest doc_id (a row without id only where no member has one). Only ids and fingerprints are
+    written on the way; the texts move once, to meet the ids that stay."""
+    rows = numbered(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")))
+    fps = materialise(with_fingerprint(rows.select("rid", "text"), keep_text=False), "fingerprints")
+    found = near_duplicates(fps.withColumnRenamed("rid", "doc_id"))  # the numbers are in the order of the ids
+    kept = fps.join(found, "fp").where("rid = component_id").select("rid")
+    return rows.select("rid", "row").join(kept, "rid", "left_semi").select("row.*")

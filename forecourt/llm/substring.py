@@ -45,10 +45,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import byte_sized, flat, materialise, shuffle_partitions
+from forecourt.llm.common import byte_sized, flat, materialise, numbered, shuffle_partitions
 
 LENGTH = 100
 ANCHOR = 36
@@ -413,24 +413,6 @@ def _counting(n: np.ndarray) -> np.ndarray:
 
 # --- the whole job ------------------------------------------------------------------------------
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with rid: unique, and in the order of doc_id. Unique ids serve as they are; else the
-    rows are numbered by (doc_id, with nulls last), rows with equal ids in the order they were written."""
-    ids = docs.select(F.col("doc_id").cast("long").alias("d"))
-    odd = ids.groupBy("d").count().where("count > 1 OR d IS NULL").limit(1).count()
-    if not odd:
-        return docs.withColumn("rid", F.col("doc_id").cast("long"))
-    rows = materialise(docs.withColumn("row_", F.monotonically_increasing_id()), "rows")
-    parts = shuffle_partitions(docs.sparkSession)
-    keys = rows.select(F.col("doc_id").isNull().alias("n"), F.col("doc_id").cast("long").alias("d"), "row_")
-    ranged = materialise(keys.repartitionByRange(parts, "n", "d", "row_").withColumn("p", F.spark_partition_id()), "ranges")
-    sizes = ranged.groupBy("p").agg(F.count(F.lit(1)).alias("size"))
-    before = sizes.select("p", (F.sum("size").over(Window.orderBy("p")) - F.col("size")).alias("before"))
-    rank = F.row_number().over(Window.partitionBy("p").orderBy("n", "d", "row_"))
-    order = ranged.withColumn("k", rank).join(before, "p").select("row_", (F.col("before") + F.col("k")).alias("rid"))
-    return rows.join(order, "row_").drop("row_")
-
-
 def by_row(places_: DataFrame, name: str) -> DataFrame:
     """rid and the list ``name`` of its places."""
     return places_.groupBy("rid").agg(F.collect_list(F.struct("at", "kind")).alias(name))
