@@ -11,10 +11,12 @@ with N the counts (order ``ORDER``) or continuation counts (below), N(h.) their
 number of distinct c after h, and D = n1 / (n1 + 2 n2) for each language and order. Order 0 is
 uniform over the characters seen and one unseen.
 
-The models of all languages share *sorted hash arrays*: per order, the 64-bit hashes of the grams in
-ascending order (a bijection of four 16-bit characters, so hashes never collide) with one column of
-log probabilities, and one of context hashes with back-off weights, per language. The language with
-the lowest cross-entropy per character wins.
+The models of all languages share Parquet tables: per order, every gram (four 16-bit characters are one
+64-bit key) with its discounted share, and every context with its back-off weight, in each language. A block
+of texts is reduced to its distinct grams, which are joined to the tables order by order; the log
+probabilities are summed per text. Only those of the most frequent grams, a bounded number, are held in
+memory, as a sorted array that saves them the join. The language with the lowest cross-entropy per
+character wins.
 
 Calibration: per language the ``REJECT`` quantile of the cross-entropy of its own training texts is
 the limit beyond which a prediction counts as rejected, and the score is a logistic function of the
@@ -41,9 +43,11 @@ from pyspark.sql import functions as F
 from forecourt.llm.common import byte_sized, materialise
 
 ORDER = 4
-#: Most grams of one order that a model keeps (most frequent first); bounds what is broadcast.
-#: All counts, discounts and back-off weights are of the whole corpus all the same.
-MAX_GRAMS = 600_000
+#: Losses (of a gram under a language) that the scorer holds in memory, for the most frequent grams. It decides
+#: cost and not results: every other gram is joined to the tables.
+HELD_LOSSES = 1_000_000
+#: Losses are whole multiples of 1 / UNIT nats, so that their sums do not depend on the order.
+UNIT = 1 << 20
 REJECT = 0.999
 UNKNOWN = "und"
 SPACE = 32
@@ -177,7 +181,7 @@ def order_tables(counts: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
         discount = kinds.select("lang", ((F.col("n1") + 1) / (F.col("n1") + 1 + 2 * (F.col("n2") + 1))).alias("d"))
         rows = current.withColumn("context", _context("gram"))
         sums = (rows.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("types"))
-                .join(discount, "lang"))
+                .join(F.broadcast(discount), "lang"))
         share = (rows.join(sums, ["lang", "context"])
                  .select("lang", "gram", "n", ((F.col("n") - F.col("d")) / F.col("total")).alias("share")))
         weight = sums.select("lang", "context", F.col("total").alias("n"), (F.col("d") * F.col("types") / F.col("total")).alias("share"))
@@ -188,122 +192,181 @@ def order_tables(counts: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
     return tables
 
 
-class Model:
-    """Sorted hash arrays of all orders, one column per language."""
-
-    def __init__(self, languages: list[str], shares: dict, weights: dict):
-        """shares[n], weights[n]: (lang index, gram or context, value) arrays."""
-        self.languages = languages
-        k = len(languages)
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        vocabulary = len(set(shares[1][1].tolist())) + 1 if k else 1
-        self.floor = 1.0 / vocabulary
-        for n in range(1, ORDER + 1):
-            grams_, table = self._columns(*shares[n], k)
-            contexts, weight = self._columns(*weights[n], k, missing=1.0)
-            order = np.argsort(hashed(grams_))
-            grams_, table = grams_[order], table[order]
-            order = np.argsort(hashed(contexts))
-            contexts, weight = contexts[order], weight[order]
-            self.levels.append((hashed(grams_), table, hashed(contexts), weight))
-            # interpolate once, here: the stored value of a gram is its whole probability
-            _, lower = self._lower(grams_, n)
-            _, factor = self._weight(grams_, n)
-            self.levels[-1] = (self.levels[-1][0], table + factor * lower, self.levels[-1][2], weight)
-
-    @staticmethod
-    def _columns(lang: np.ndarray, key: np.ndarray, value: np.ndarray, k: int, missing: float = 0.0):
-        keys, index = np.unique(key.astype(np.int64).view(np.uint64), return_inverse=True)
-        table = np.full((len(keys), k), missing)
-        table[index, lang] = value
-        return keys, table
-
-    def _weight(self, gram: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        _, _, contexts, weight = self.levels[n - 1]
-        key = hashed((gram & np.uint64((1 << 16 * n) - 1)) >> np.uint64(16))
-        at = np.searchsorted(contexts, key)
-        at[at == len(contexts)] = 0
-        hit = contexts[at] == key if len(contexts) else np.zeros(len(gram), bool)
-        out = np.ones((len(gram), len(self.languages)))
-        out[hit] = weight[at[hit]]
-        return hit, out
-
-    def _lower(self, gram: np.ndarray, n: int) -> tuple[None, np.ndarray]:
-        if n == 1:
-            return None, np.full((len(gram), len(self.languages)), self.floor)
-        return None, self.probability(gram, n - 1)
-
-    def probability(self, gram: np.ndarray, n: int = ORDER) -> np.ndarray:
-        """p_n of the last character of each gram, one column per language."""
-        hashes, table, _, _ = self.levels[n - 1]
-        key = hashed(gram & np.uint64((1 << 16 * n) - 1))
-        at = np.searchsorted(hashes, key)
-        at[at == len(hashes)] = 0
-        hit = hashes[at] == key if len(hashes) else np.zeros(len(gram), bool)
-        out = np.empty((len(gram), len(self.languages)))
-        out[hit] = table[at[hit]]
-        rest = gram[~hit]
-        if len(rest):
-            out[~hit] = self._weight(rest, n)[1] * self._lower(rest, n)[1]
-        return out
+def _dense(table: DataFrame, key: str, name: str, languages: list[str], missing: float) -> DataFrame:
+    """``key`` and the array ``name``: the column share by language, ``missing`` where a language has none."""
+    number = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1
+    found = table.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(number.cast("int"), "share"))).alias("m"))
+    return found.select(key, F.transform(F.sequence(F.lit(0), F.lit(len(languages) - 1)),
+                                         lambda i: F.coalesce(F.try_element_at("m", i), F.lit(missing))).alias(name))
 
 
-class Scorer:
-    """Cross-entropies of texts under a model, with the grams of a block looked up once each."""
+class Model:
+    """Tables of all orders, one value per language in each row, and the losses of frequent grams."""
+
+    def __init__(self, languages: list[str], levels: dict[int, tuple[DataFrame, DataFrame]]):
+        """levels[n]: (gram, share) and (context, weight) of order n."""
+        self.languages, self.levels = languages, levels
+        self.floor = 1.0 / (levels[1][0].count() + 1) if languages else 1.0
+        #: grams in ascending order and their losses, a row each
+        self.frequent = np.zeros(0, np.uint64), np.zeros((0, len(languages)), np.int32)
+
+    def losses(self, asked: DataFrame) -> DataFrame:
+        """gram and losses (whole multiples of 1 / UNIT nats, one per language) of the distinct grams
+        ``asked``, trained or not. A key of these joins stands in as many rows as there are characters at most."""
+        k, by_order = len(self.languages), {ORDER: asked}
+        for n in range(ORDER - 1, 0, -1):
+            by_order[n] = materialise(by_order[n + 1].select(_suffix("gram", n).alias("gram")).distinct(), f"asked{n}")
+        lower = None
+        for n, (share, weight) in sorted(self.levels.items()):
+            rows = by_order[n].select("gram", _context("gram").alias("context"), _suffix("gram", n - 1).alias("suffix"))
+            rows = rows.join(share, "gram", "left").join(F.broadcast(weight) if n == 1 else weight, "context", "left")
+            rows = (rows.withColumn("lower", F.array_repeat(F.lit(self.floor), k)) if lower is None else
+                    rows.join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("lower")), "suffix"))
+            backed = F.when(F.col("weight").isNull(), F.col("lower")).otherwise(F.zip_with("weight", "lower", lambda w, x: w * x))
+            lower = rows.withColumn("backed", backed).select("gram", F.when(F.col("share").isNull(), F.col("backed")).otherwise(
+                F.zip_with("share", "backed", lambda s, x: s + x)).alias("p"))
+        return lower.select("gram", F.transform("p", lambda x: F.round(-F.log(x) * UNIT).cast("long")).alias("losses"))
+
+
+class Frequent:
+    """Losses of the grams of a block that the model holds in memory."""
 
     SLOTS = 18
 
-    def __init__(self, model: Model):
-        self.model = model
+    def __init__(self, grams_: np.ndarray, losses: np.ndarray):
+        self.grams, self.losses = grams_, losses
         # a direct-mapped table of grams seen before, in front of the sorted arrays
         self.keys = np.zeros(1 << self.SLOTS, np.uint64)
-        self.values = np.zeros((1 << self.SLOTS, len(model.languages)), np.float32)
+        self.values = np.zeros((1 << self.SLOTS, losses.shape[1]), np.int32)
+        self.held = np.zeros(1 << self.SLOTS, bool)
 
-    def loss(self, gram: np.ndarray) -> np.ndarray:
+    def __call__(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(losses, whether held) of each gram; 0 where it is not."""
         slot = self._slot(gram)
-        out = self.values[slot]
+        out, held = self.values[slot], self.held[slot]
         miss = self.keys[slot] != gram
         if miss.any():
             new, index = np.unique(gram[miss], return_inverse=True)
-            values = -np.log(self.model.probability(new)).astype(np.float32)
-            out[miss] = values[index]
+            values, known = np.zeros((len(new), out.shape[1]), np.int32), np.zeros(len(new), bool)
+            if len(self.grams):
+                at = np.searchsorted(self.grams, new)
+                at[at == len(self.grams)] = 0
+                known = self.grams[at] == new
+                values[known] = self.losses[at[known]]
+            out[miss], held[miss] = values[index], known[index]
             slot = self._slot(new)
-            self.keys[slot], self.values[slot] = new, values
-        return out
+            self.keys[slot], self.values[slot], self.held[slot] = new, values, known
+        return out, held
 
     def _slot(self, gram: np.ndarray) -> np.ndarray:
         return (hashed(gram) >> np.uint64(64 - self.SLOTS)).astype(np.int64)
 
-    def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(nats per character by language, characters, has a letter) of each text."""
-        codes, offsets, letters = folded(texts)
-        gram, ends = text_grams(codes, offsets)
-        sums = np.zeros((len(texts), len(self.model.languages)))
-        loss = self.loss(gram)
-        n = np.diff(ends)
-        some = n > 0
-        if some.any():
-            sums[some] = np.add.reduceat(loss, ends[:-1][some], axis=0, dtype=np.float64)
-        return sums / np.maximum(n, 1)[:, None], n, letters
-
 
 def train(docs: DataFrame) -> Model:
     """Model of the rows (text, lang); null texts and languages are left out."""
     counts = materialise(gram_counts(docs), "grams")
     languages = [r["lang"] for r in counts.select("lang").distinct().orderBy("lang").collect()]
-    number = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1 if languages else F.lit(0)
+    if not languages:
+        return Model([], {})
+    model = Model(languages, {
+        n: (materialise(_dense(share, "gram", "share", languages, 0.0), f"share{n}"),
+            materialise(_dense(weight, "context", "weight", languages, 1.0), f"weight{n}"))
+        for n, (share, weight) in order_tables(counts).items()})
+    # from the top, whole classes of frequency (eight for each doubling) as long as they fit
+    classes = counts.groupBy("gram").agg(F.floor(F.log2(F.sum("n")) * 8).alias("class"))
+    room, least = HELD_LOSSES // len(languages), None
+    for r in classes.groupBy("class").count().orderBy(F.desc("class")).collect():  # at most 8 * 63 rows
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["class"]
+    if least is not None:
+        asked = materialise(classes.where(F.col("class") >= least).select("gram"), "frequent")
+        table = model.losses(asked).toArrow()
+        grams_ = table["gram"].to_numpy().view(np.uint64)
+        losses = pa.chunked_array(table["losses"]).combine_chunks().flatten().to_numpy().reshape(len(grams_), -1)
+        order = np.argsort(grams_)
+        model.frequent = grams_[order], losses[order].astype(np.int32)
+    return model
+
+
+# --- scoring ------------------------------------------------------------------------------------
+
+def scored(docs: DataFrame, model: Model) -> DataFrame:
+    """The columns of ``docs`` but the text, and n (characters), letters (whether there are any) and
+    sums: the loss of the whole text under each language, in 1 / UNIT nats.
+
+    A block of texts sums the grams held in memory at once and passes on each other gram with the
+    places and counts of the texts it stands in; these are joined to their losses and added."""
+    k, frequent = len(model.languages), model.frequent
+    kept = docs.drop("text").schema
+    rows = docs.withColumn("rid", F.monotonically_increasing_id())  # consecutive within a partition
+    rows = rows.select("rid", "text", *kept.names)
+    schema = ", ".join(["rid long", *(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "n long, letters boolean",
+                        "sums array<long>, gram long, places array<int>, counts array<int>"])
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Frequent(*frequent)
+        for b in byte_sized(batches, "text", BLOCK_BYTES):
+            codes, offsets, letters = folded([t or "" for t in b.column("text").to_pylist()])
+            gram, ends = text_grams(codes, offsets)
+            n = np.diff(ends)
+            loss, known = held(gram)
+            sums, some = np.zeros((len(n), k), np.int64), n > 0
+            if some.any():
+                sums[some] = np.add.reduceat(loss, ends[:-1][some], axis=0, dtype=np.int64)
+            place = np.repeat(np.arange(len(n), dtype=np.int32), n)[~known]
+            names = ["rid", *kept.names, "n", "letters", "sums", "gram", "places", "counts"]
+            lists = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [b.column("rid"), *(b.column(c) for c in kept.names), pa.array(n), pa.array(letters),
+                 pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * k, sums.ravel()),
+                 *(pa.nulls(len(n), t) for t in (pa.int64(), lists, lists))], names=names)
+            if len(place):
+                gram = gram[~known]
+                order = np.lexsort((place, gram))
+                gram, place = gram[order], place[order]
+                first = np.flatnonzero(np.append(True, (gram[1:] != gram[:-1]) | (place[1:] != place[:-1])))
+                counts = np.diff(np.append(first, len(gram))).astype(np.int32)
+                gram, place = gram[first], place[first]
+                cuts = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+                bounds = np.append(cuts, len(gram)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(cuts), b.column("rid")[0].as_py())),
+                     *(pa.nulls(len(cuts), b.schema.field(c).type) for c in kept.names),
+                     *(pa.nulls(len(cuts), t) for t in (pa.int64(), pa.bool_(), pa.list_(pa.int64()))),
+                     pa.array(gram[cuts].view(np.int64)), pa.ListArray.from_arrays(bounds, place),
+                     pa.ListArray.from_arrays(bounds, counts)], names=names)
+
+    found = materialise(rows.mapInArrow(look, schema), "blocks")
+    rest = found.where("gram IS NOT NULL").select("rid", "gram", "places", "counts")
+    losses = materialise(model.losses(materialise(rest.select("gram").distinct(), "asked")), "losses")
+    places = rest.join(losses, "gram").select("rid", "losses", F.explode(F.arrays_zip("places", "counts")).alias("e"))
+    more = (places.groupBy((F.col("rid") + F.col("e.places")).alias("rid"))
+            .agg(F.array(*[F.sum(F.col("e.counts") * F.col("losses")[i]) for i in range(k)]).alias("more")))
+    whole = F.when(F.col("more").isNull(), F.col("sums")).otherwise(F.zip_with("sums", "more", lambda x, y: x + y))
+    return (found.where("gram IS NULL").join(more, "rid", "left")
+            .select(*kept.names, "n", "letters", whole.alias("sums")))
+
+
+def _entropies(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(nats per character by language, characters, has a letter) of each row of :func:`scored`."""
+    n, letters = (b.column(c).to_numpy(zero_copy_only=False) for c in ("n", "letters"))
+    sums = b.column("sums").flatten().to_numpy().reshape(len(n), -1)
+    return sums / UNIT / np.maximum(n, 1)[:, None], n, letters
 
-    def fetch(table: DataFrame, key: str):
-        """The most frequent MAX_GRAMS rows; a bounded number, whatever the corpus."""
-        table = materialise(table.select(number.cast("int").alias("l"), key, "share", "n"), "model")
-        if table.count() > MAX_GRAMS:
-            table = table.orderBy(F.desc("n"), "l", key).limit(MAX_GRAMS)
-        return tuple(c.to_numpy() for c in table.select("l", key, "share").toArrow().columns)
 
-    shares, weights = {}, {}
-    for n, (share, weight) in order_tables(counts).items():
-        shares[n], weights[n] = fetch(share, "gram"), fetch(weight, "context")
-    return Model(languages, shares, weights)
+class Scorer:
+    """Cross-entropies of a few texts at hand, by way of :func:`scored`."""
+
+    def __init__(self, model: Model):
+        self.model = model
+
+    def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(nats per character by language, characters, has a letter) of each text."""
+        spark = self.model.levels[1][0].sparkSession
+        docs = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+        return _entropies(scored(docs, self.model).orderBy("i").toArrow().combine_chunks().to_batches()[0])
 
 
 # --- calibration and prediction -----------------------------------------------------------------
@@ -311,18 +374,19 @@ def train(docs: DataFrame) -> Model:
 BINS = 400
 
 
-def calibrate(docs: DataFrame, model: Model) -> tuple[list[float], float]:
-    """(entropy limit of each language, slope of the score) from all training rows (text, lang)."""
-    k = len(model.languages)
-    index = {name: i for i, name in enumerate(model.languages)}
+def calibrate(found: DataFrame, languages: list[str]) -> tuple[list[float], float]:
+    """(entropy limit of each language, slope of the score) from all training rows (lang and what scored() gives)."""
+    k = len(languages)
+    index = {name: i for i, name in enumerate(languages)}
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
         entropy, margin = np.zeros((k, BINS), np.int64), np.zeros((2, BINS), np.int64)
-        for b in byte_sized(batches, "text", BLOCK_BYTES):
-            loss, n, letters = scorer.entropies(b.column(0).to_pylist())
-            own = np.array([index.get(x, -1) for x in b.column(1).to_pylist()])
-            letters &= own >= 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            loss, n, letters = _entropies(b)
+            own = np.array([index.get(x, -1) for x in b.column("lang").to_pylist()])
+            letters = letters & (own >= 0)
             best = loss.argmin(1)
             np.add.at(entropy, (own[letters], _bin(loss[np.arange(len(own)), own] * 20)[letters]), 1)
             np.add.at(margin, ((best == own).astype(int)[letters], _bin(_margin(loss, n) * 4)[letters]), 1)
@@ -332,8 +396,7 @@ def calibrate(docs: DataFrame, model: Model) -> tuple[list[float], float]:
                                          names=["row", "bin", "n"])
 
     counted = np.zeros((k + 2, BINS), np.int64)
-    labelled = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
-    for r in (labelled.mapInArrow(measure, "row int, bin int, n long").groupBy("row", "bin")
+    for r in (found.select("lang", "n", "letters", "sums").mapInArrow(measure, "row int, bin int, n long").groupBy("row", "bin")
               .agg(F.sum("n").alias("n")).collect()):  # at most (k + 2) * BINS rows
         counted[r["row"], r["bin"]] = r["n"]
     share = np.cumsum(counted[:k], 1) / np.maximum(counted[:k].sum(1, keepdims=True), 1)
@@ -362,24 +425,31 @@ def identify(docs: DataFrame, training: DataFrame) -> DataFrame:
     """doc_id, lang_pred, score, rejected and cross_entropy for every row of ``docs`` (doc_id, text),
     learnt from ``training`` (text, lang)."""
     model = train(training)
-    limits, slope = calibrate(training, model) if model.languages else ([], 1.0)
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if not model.languages:
+        return ids.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"),
+                          F.lit(None).cast("double").alias("cross_entropy"))
+    labelled = training.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
+    none = F.lit(None)
+    found = materialise(scored(
+        ids.select("doc_id", "text", none.cast("string").alias("lang"), F.lit(False).alias("learnt"))
+        .union(labelled.select(none.cast("long"), "text", "lang", F.lit(True))), model), "scored")
+    limits, slope = calibrate(found.where("learnt"), model.languages)
+    languages = model.languages
     out = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()),
                      ("rejected", pa.bool_()), ("cross_entropy", pa.float64())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model) if model.languages else None
-        for b in byte_sized(batches, "text", BLOCK_BYTES):
-            values = [t or "" for t in b.column(1).to_pylist()]
-            if scorer is None:
-                rows = [(UNKNOWN, 0.0, True, None)] * len(values)
-            else:
-                loss, n, letters = scorer.entropies(values)
-                best, margin = loss.argmin(1), _margin(loss, n)
-                score = 1 / (1 + np.exp(-np.minimum(slope * margin, 500)))
-                rows = [(model.languages[i], float(s), bool(e > limits[i]), float(e)) if l else (UNKNOWN, 0.0, True, None)
-                        for i, s, e, l in zip(best.tolist(), score.tolist(), loss.min(1).tolist(), letters.tolist())]
+        for b in batches:
+            if not b.num_rows:
+                continue
+            loss, n, letters = _entropies(b)
+            best, margin = loss.argmin(1), _margin(loss, n)
+            score = 1 / (1 + np.exp(-np.minimum(slope * margin, 500)))
+            rows = [(languages[i], float(s), bool(e > limits[i]), float(e)) if l else (UNKNOWN, 0.0, True, None)
+                    for i, s, e, l in zip(best.tolist(), score.tolist(), loss.min(1).tolist(), letters.tolist())]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(out)[1:]))],
                                              schema=out)
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return (found.where("NOT learnt").select("doc_id", "n", "letters", "sums")
             .mapInArrow(predict, "doc_id long, lang_pred string, score double, rejected boolean, cross_entropy double"))

@@ -56,6 +56,26 @@ def test_model_equals_brute_force_kneser_ney(spark):
         assert n[0] == len(s) - 3 and letters[0] and abs(loss[0, 0] - want) < 1e-5
 
 
+def test_model_keeps_every_gram_of_a_rare_language(spark, monkeypatch):
+    """A hot and a rare language, with more grams than are held in memory."""
+    for name, most in (("HELD_LOSSES", 200), ("MAX_GRAMS", 100)):  # the bound, and the cap that stood in its place
+        monkeypatch.setattr(langid, name, most, raising=False)
+    rng = random.Random(5)
+    letters = "the quick brown fox jumps over the lazy dog"  # both see the same characters
+    hot = [letters, *(" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(40)) for _ in range(10))] * 3
+    rare = [letters, "zebra quiz jukebox vex", "vex quiz, zebra"]
+    learn = spark.createDataFrame([(t, "hot") for t in hot] + [(t, "rare") for t in rare], "text string, lang string")
+    texts = [*rare, hot[1], "quiz abc zebra", "éa unseen words", ""]
+    loss = langid.Scorer(langid.train(learn)).entropies(texts)[0]
+    for j, own in enumerate((hot, rare)):
+        p, framed = brute_kn(own)
+        for i, s in enumerate(map(framed, texts)):
+            want = [-np.log(p(s[x - 3:x + 1])) for x in range(3, len(s))]
+            assert abs(loss[i, j] - (np.mean(want) if want else 0)) < 1e-5
+    monkeypatch.setattr(langid, "HELD_LOSSES", 10**6)  # what is held decides nothing
+    assert (langid.Scorer(langid.train(learn)).entropies(texts)[0] == loss).all()
+
+
 def test_language_odd_rows(spark, make_docs):
     docs = make_docs([(1, None, "en"), (2, "", "en"), (3, "123 !!", "en"), (4, "the cat " * 30_000, "en"), (5, "der hund ist", "de"),
                       (6, "the cat", None), (7, "́́", "en"), (None, "der hund", "de"), (7, "日本語", "ja")])
