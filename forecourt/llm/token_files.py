@@ -10,7 +10,8 @@ A file set is a Parquet folder of *segments*, each a self-contained byte string
 
 An Elias-Fano block of n sorted values keeps the low ``l`` bits of each value in a packed array
 and the high parts in unary in a bit array, 2 + l bits a value, plus the place of every
-``SELECT_EVERY``-th one bit, from which ``select(i)`` counts on. No table of 64-bit offsets is
+``SELECT_EVERY``-th one bit, from which ``select(i)`` counts on; the reader gets every document's
+start and end from it (``select_many``). No table of 64-bit offsets is
 written. Segments are numbered in document order; a document's global start is its offset in the
 segment plus the ids of all segments before.
 
@@ -89,6 +90,27 @@ class EliasFano:
         piece = np.unpackbits(self.low[lo // 8:(lo + w + 7) // 8], bitorder="little")[lo % 8:lo % 8 + w]
         return ((one - i) << w) | int(sum(int(b) << k for k, b in enumerate(piece)))
 
+    def select_many(self, places: np.ndarray) -> np.ndarray:
+        """The values at ``places``: of the high bits only those between two samples around a place are read."""
+        places = np.asarray(places, np.int64)
+        if len(places) and not 0 <= places.min() <= places.max() < self.n:
+            raise IndexError(places)
+        group = places // SELECT_EVERY
+        ones = np.zeros(len(places), np.int64)
+        order = np.argsort(group, kind="stable")
+        cuts = np.flatnonzero(np.diff(group[order], prepend=-1, append=-1)) if len(places) else []
+        for mine in (order[lo:hi] for lo, hi in zip(cuts, cuts[1:])):
+            g = int(group[mine[0]])
+            first = int(self.samples[g]) // 8
+            last = int(self.samples[g + 1]) // 8 + 1 if g + 1 < len(self.samples) else len(self.high)
+            found = np.flatnonzero(np.unpackbits(self.high[first:last], bitorder="little")) + 8 * first
+            ones[mine] = found[np.searchsorted(found, self.samples[g]) + places[mine] % SELECT_EVERY]
+        out = (ones - places).astype(np.uint64) << np.uint64(self.low_bits)
+        for k in range(self.low_bits):
+            bit = places * self.low_bits + k
+            out |= ((self.low[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(np.uint64) << np.uint64(k)
+        return out.astype(np.int64)
+
     def values(self) -> np.ndarray:
         """All values, decoded at once."""
         ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n]
@@ -209,7 +231,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for part, number, payload in zip(*(b.column(i).to_pylist() for i in range(3))):
                 doc_ids, bounds, ids = read_segment(payload)
-                at = bounds.values()
+                at = bounds.select_many(np.arange(bounds.n))
                 crc = [zlib.crc32(ids[lo:hi].astype("<u4").tobytes()) for lo, hi in zip(at[:-1].tolist(), at[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(

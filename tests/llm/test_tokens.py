@@ -43,6 +43,20 @@ def test_elias_fano_selects_every_value():
             assert len(EliasFano.encode(np.array(values, np.uint64)).to_bytes()) < 8 * n
 
 
+def test_select_of_many_places():
+    rng = random.Random(2)
+    for n in (1, 2, 255, 256, 257, 3000):
+        for values in (sorted(rng.randrange(10 ** rng.randint(1, 14)) for _ in range(n)), list(range(n)), [0] * (n - 1) + [10**12]):
+            coded, _ = EliasFano.read(memoryview(EliasFano.encode(np.array(values, np.uint64)).to_bytes()), 0)
+            places = [rng.randrange(n) for _ in range(50)]
+            assert coded.select_many(places).tolist() == [values[i] for i in places]
+            assert coded.select_many(np.arange(n)).tolist() == values
+    assert coded.select_many([]).tolist() == []
+    for outside in (-1, n):
+        with pytest.raises(IndexError):
+            coded.select_many([0, outside])
+
+
 def test_token_files_against_a_plain_loop(spark, sf_docs):
     rows = sorted((r.doc_id, r.text) for r in sf_docs.select("doc_id", "text").collect())
     want, start = [], 0
