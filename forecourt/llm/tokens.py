@@ -8,8 +8,9 @@ Both vocabularies split a text before they merge, and no piece crosses a *safe c
   and between a letter and one of ``. , ; : ! ?``.
 
 A block of texts is cut there by Arrow's string kernels, the distinct chunks go to the library
-in one call, and the ids of the texts are gathered from theirs. The ids equal those of
-``encode(text, add_special_tokens=False)``, with special tokens read as plain text.
+in one call, and the ids of the texts are gathered from theirs. A text that holds an added token
+(``<|endoftext|>``), in any case, is one chunk and goes whole through the library. The ids equal
+those of ``encode(text, add_special_tokens=False)`` with the file as it is.
 """
 
 from __future__ import annotations
@@ -57,12 +58,24 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.byte_level = self.tokenizer.normalizer is None
         self.merge, self.letters = self.tokenizer.model.tokenize, byte_letters()
 
     def chunks(self, texts: pa.Array) -> pa.ListArray:
-        """Each text cut into chunks; chunks of the word vocabulary may be empty."""
+        """Each text cut into chunks, those with an added token left whole; chunks of the word vocabulary may be empty."""
+        whole = pa.array(np.zeros(len(texts), bool))
+        for token in self.added:  # in any case, as folding A-Z early could make a token
+            whole = pc.or_(whole, pc.match_substring(texts, token, ignore_case=True))
+        if not pc.any(whole).as_py():
+            return self.cut(texts)
+        cut = self.cut(pc.if_else(whole, pa.scalar("", pa.large_string()), texts))  # an empty text is one empty chunk
+        offsets = np.asarray(cut.offsets).astype(np.int64) - cut.offsets[0].as_py()
+        flat, mask = cut.flatten(), np.zeros(int(offsets[-1]), bool)
+        mask[offsets[:-1][np.asarray(whole)]] = True
+        return pa.LargeListArray.from_arrays(offsets, pc.replace_with_mask(flat, pa.array(mask), texts.filter(whole)))
+
+    def cut(self, texts: pa.Array) -> pa.ListArray:
         if self.byte_level:
             return byte_level_chunks(texts)
         # folding A-Z early only merges chunks; beside a combining mark it could change composition

@@ -32,6 +32,19 @@ def test_blocks_equal_the_library(path):
             assert ids[lo:hi].tolist() == encoder.tokenizer.encode(text or "", add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_added_tokens_as_the_file_has_them(path):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    texts = ["a <|endoftext|> b", "plain. text", None, "<|endoftext|>", "A<|EndOfText|>, b", "x.<|startoftext|>.\ny <|endoftext|><|endoftext|>é",
+             "", "<|endof text|> <|", "word " * 500 + "<|endoftext|>"]
+    for some in (texts, *[[t] for t in texts]):
+        ids, bounds = Encoder(path).block(pa.array(some, pa.string()))
+        for text, lo, hi in zip(some, bounds, bounds[1:]):
+            assert ids[lo:hi].tolist() == library.encode(text or "", add_special_tokens=False).ids, repr(text)
+
+
 def test_elias_fano_selects_every_value():
     rng = random.Random(1)
     for n in (0, 1, 2, 255, 256, 257, 3000):
