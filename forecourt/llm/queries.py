@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import bpe, langid, packing, quality_model, quality_rules, simhash, substring, token_files, topk, url_filter
+from forecourt.llm import (
+    bpe, langid, packing, periodic, quality_model, quality_rules, simhash, substring, token_files, topk, url_filter,
+)
 from forecourt.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +206,8 @@ def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_model.classify(docs, labels, ["doc_id"])
     held_out = F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out")
     return found.select("doc_id", held_out, "score", "predicted")
+
+
+@query("op11_periodic")
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), plant=True)
