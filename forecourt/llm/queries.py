@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from forecourt.llm import (
     bpe, langid, packing, periodic, quality_model, quality_rules, simhash, substring, token_files, topk, url_filter,
+    warc,
 )
 from forecourt.sources.tables import read_table
 
@@ -211,3 +212,28 @@ def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_periodic")
 def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.periodic_runs(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), plant=True)
+
+
+#: The digest of the payloads, five hexadecimal digits to four base 32 ones, and the first page of each payload.
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages), h AS (
+  SELECT *, upper(sha1(body)) AS hex, row_number() OVER w AS k, first_value(page_id) OVER w AS first_page
+  FROM p WINDOW w AS (PARTITION BY body ORDER BY page_id NULLS LAST)
+), g AS (
+  SELECT *, list_transform(range(0, 8), lambda i: list_sum(list_transform(range(0, 5), lambda j:
+         CAST(strpos('0123456789ABCDEF', substr(hex, CAST(5 * i + j + 1 AS INTEGER), 1)) - 1 AS INTEGER) << CAST(16 - 4 * j AS INTEGER)))) AS v
+  FROM h
+)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST(v[i // 4 + 1] AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) % 32 + 1 AS INTEGER), 1)), '')
+         AS payload_digest,
+       CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN k > 1 THEN first_page END AS refers_to
+FROM g
+"""
+
+
+@query("op13_warc", WARC_SQL)
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
