@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.llm import (
-    bpe, langid, packing, periodic, quality_model, quality_rules, simhash, substring, token_files, topk, url_filter,
-    warc,
+    bpe, divergence, langid, packing, periodic, quality_model, quality_rules, simhash, substring, token_files, topk,
+    url_filter, warc,
 )
 from forecourt.sources.tables import read_table
 
@@ -237,3 +237,48 @@ FROM g
 @query("op13_warc", WARC_SQL)
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+
+
+#: Terms one row each, the counts of kept terms, and every pair of sources term by term.
+DIVERGENCE_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), w AS (
+  SELECT id, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d
+), kept AS (SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT id) >= {divergence.MIN_DOCS}),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+lc AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL),
+lt AS (SELECT lang, sum(n) AS total FROM c GROUP BY lang),
+gt AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+g AS (SELECT d.lang, d.source, coalesce(max(total), 0) AS total FROM d LEFT JOIN gt USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+         CAST(1 + {divergence.SCALE} * CAST(coalesce(c.n, 0) + 2 AS HUGEINT) // CAST(g.total + 2 * v AS HUGEINT) AS BIGINT) AS p
+  FROM g JOIN kept ON g.lang = kept.lang JOIN sizes ON g.lang = sizes.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+), q AS (
+  SELECT lc.lang, lc.term,
+         CAST(1 + {divergence.SCALE} * CAST(lc.n + 2 AS HUGEINT) // CAST(lt.total + 2 * v AS HUGEINT) AS BIGINT) AS q
+  FROM lc JOIN lt ON lc.lang = lt.lang JOIN sizes ON lc.lang = sizes.lang
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS f
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL
+  SELECT p.lang, source, 'term', p.term, CAST((p - q) * (p - q) // (p + q) AS BIGINT)
+  FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM found
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}
+"""
+
+
+@query("op12_divergence", DIVERGENCE_SQL)
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(read_table(spark, sf_dir, "documents", ["lang", "source", "text"]))
