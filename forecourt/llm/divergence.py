@@ -49,7 +49,7 @@ HELD_BYTES = 128_000_000
 HELD_TERMS = 1_000_000
 BLOCK_BYTES = 8_000_000
 #: Counts of one block of slots in the comparison.
-CELLS = 1 << 22
+CELLS = 1 << 17
 
 _FOLD = bytes((b | 32) if chr(b).isascii() and chr(b).isalpha() else b if b >= 128 else 32 for b in range(256))
 
