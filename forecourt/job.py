@@ -19,6 +19,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,31 +35,40 @@ DEAL_TABLES = ("deal", "status", "buy_lead", "lead", "lead_profile", "listing",
                "ext_request", "ext_listing", "platform_account")
 
 
-def products_test_layout(spark: SparkSession, data: str) -> tuple[DataFrame, DataFrame]:
-    """(deal master, refurb cost) on the test tables."""
+Products = tuple[Callable[[], DataFrame], Callable[[], DataFrame]]
+
+
+def products_test_layout(spark: SparkSession, data: str) -> Products:
+    """Builders of (deal master, refurb cost) on the test tables."""
     from forecourt.plans.deals import deal_master_shared
     from forecourt.plans.refurb import refurb_cost
     from forecourt.plans.refurb_testdata import refurb_inputs
     from forecourt.sources.tables import Tables
 
-    t = Tables(spark, data)
-    return deal_master_shared(t), refurb_cost(*refurb_inputs(t), out_type="double")
+    return (lambda: deal_master_shared(Tables(spark, data)),
+            lambda: refurb_cost(*refurb_inputs(Tables(spark, data)), out_type="double"))
 
 
-def products_warehouse_layout(spark: SparkSession, data: str, rules: dict) -> tuple[DataFrame, DataFrame]:
-    """(deal master, refurb cost) on the warehouse-shaped tables."""
+def products_warehouse_layout(spark: SparkSession, data: str, rules: dict) -> Products:
+    """Builders of (deal master, refurb cost) on the warehouse-shaped tables."""
     from forecourt.plans.deal_master_tables import deal_master_from_tables
     from forecourt.plans.refurb import refurb_cost, refurb_inputs_from_tables
     from forecourt.sources.tables import read_table
 
-    tb = {name: read_table(spark, data, name) for name in WORKSHOP_TABLES + DEAL_TABLES}
-    refurb = refurb_cost(*refurb_inputs_from_tables(tb, [tuple(r) for r in rules.get("city_rules", [])]))
-    deals = deal_master_from_tables(
-        tb, category=rules["category"], hub_rules=[tuple(r) for r in rules.get("hub_rules", [])],
-        url_rules=[tuple(r) for r in rules.get("url_rules", [])],
-        direct_label=rules.get("direct_label", "Other Direct"),
-        source_labels=[tuple(r) for r in rules.get("source_labels", [])])
-    return written(deals, "deal-master"), refurb
+    def pairs(name: str) -> list[tuple]:
+        return [tuple(r) for r in rules.get(name, [])]
+
+    def refurb() -> DataFrame:
+        tables = {name: read_table(spark, data, name) for name in WORKSHOP_TABLES}
+        return refurb_cost(*refurb_inputs_from_tables(tables, pairs("city_rules")))
+
+    def deals() -> DataFrame:
+        tables = {name: read_table(spark, data, name) for name in DEAL_TABLES}
+        return written(deal_master_from_tables(
+            tables, category=rules["category"], hub_rules=pairs("hub_rules"), url_rules=pairs("url_rules"),
+            direct_label=rules.get("direct_label", "Other Direct"), source_labels=pairs("source_labels")), "deal-master")
+
+    return deals, refurb
 
 
 def run(spark: SparkSession, layout: str, data: str, out: str | None, copies: int, as_of: dt.datetime,
@@ -68,7 +78,8 @@ def run(spark: SparkSession, layout: str, data: str, out: str | None, copies: in
 
     With ``run_id`` both products are staged under ``<spark.checkpoint.dir>/staging/<run_id>``:
     rerunning the same run id after a driver failure reuses whatever was committed from the same
-    input files, rules and reference time. ``fmt="csv"`` publishes the margin targets as
+    input files, rules and reference time; a product whose stage is found is not even built, so no job reads the
+    source tables for it. ``fmt="csv"`` publishes the margin targets as
     blank-filled text with a header. Targets are read with ``sinks.published_table``.
     """
     from forecourt.plans.deal_master_tables import margin_base_from_tables
@@ -81,11 +92,10 @@ def run(spark: SparkSession, layout: str, data: str, out: str | None, copies: in
         deals, refurb = products_warehouse_layout(spark, data, rules or {})
     base = out or shared_dir(spark, "published")
     stage = shared_dir(spark, f"staging/{run_id}") if run_id else scratch_path(spark, "staging")
-    refurb_table = stage_table(refurb, f"{stage}/refurb_cost", stamp)
+    refurb_table = stage_table(refurb, f"{stage}/refurb_cost", stamp, spark=spark)
     publish_table(refurb_table, f"{base}/refurb_cost")
-    margin = margin_base_from_tables(deals, refurb_table)
     done = publish_margin(
-        margin, refurb_table, full_targets=[f"{base}/margin_{i:02d}" for i in range(copies)],
+        lambda: margin_base_from_tables(deals(), refurb_table), refurb_table, full_targets=[f"{base}/margin_{i:02d}" for i in range(copies)],
         trailing_target=f"{base}/margin_trailing", refurb_target=None, as_of=as_of, fmt=fmt,
         staging=f"{stage}/margin_base", stamp=stamp, money_scale=MONEY_COLUMNS)
     done["refurb"] = [f"{base}/refurb_cost"]

@@ -31,7 +31,7 @@ def margin_base_frame(t: Tables) -> DataFrame:
     listing date becomes a timestamp (as the export expects)."""
     def build() -> DataFrame:
         deals = deal_master_shared(t)
-        invoices, line_costs, advisors = refurb_inputs(t)
+        invoices, line_costs, advisors = refurb_inputs(t, facts=True)
         cost = refurb_cost(invoices, line_costs, advisors, out_type="double")
         leads = t.orders.select(F.col("o_custkey").alias("sell_lead_id"))
         merged = merge_null_safe(deals, cost, "sell_lead_id", left_keys=leads).drop("reg_no")

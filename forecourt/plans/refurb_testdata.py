@@ -17,9 +17,10 @@ from forecourt.functions.columns import (
     full_name, local_floor, local_time, null_fallback, pattern_bucket,
 )
 from forecourt.plans import roles
+from forecourt.plans.deals import lines_by_deal, lines_by_pair
 from forecourt.plans.refurb import REFURB_CATEGORIES, refurb_cost
 from forecourt.plans.registry import register
-from forecourt.session import scratch_path, written
+from forecourt.session import scratch_path
 from forecourt.sinks.publish import publish_table, published_table
 from forecourt.sources.tables import Tables
 
@@ -32,7 +33,8 @@ def geo(t: Tables) -> DataFrame:
         "n_nationkey", "n_name", "r_name")
 
 
-def refurb_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+def refurb_inputs(t: Tables, facts: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``facts``: the lines also feed the deal master of the same plan, so both use one aggregate."""
     g = F.broadcast(geo(t))
     car = (t.customer.select("c_custkey", "c_name", "c_nationkey")
            .join(g, F.col("c_nationkey") == F.col("n_nationkey"), "left")
@@ -53,19 +55,16 @@ def refurb_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
                 .join(car, F.col("car_id") == F.col("sell_lead_id"), "left")
                 .filter(F.col("invoice_workshop_name").isNotNull())
                 .drop("car_id"))
-    # One partial aggregate of the lines per (order, supplier) feeds both the per-invoice cost
-    # (re-summed inside refurb_cost; a sum of sums is the same sum) and the job-card users
-    # (the distinct (order, supplier) pairs). The two uses need different columns, so the aggregate
-    # is written once: the line table is read and shuffled a single time.
-    # The sum runs on exact integer units (long arithmetic) and becomes a decimal once per pair.
-    per_pair = written(t.lineitem.groupBy(F.col("l_orderkey").alias("invoice_id"), F.col("l_suppkey").alias("user_id")).agg(
-        F.sum(roles.line_cost_units()).alias("_units")), "line-pairs")
+    # The lines are read once for every product (``lines_by_pair``): their sum per deal is the line cost of
+    # the invoice (re-summed inside refurb_cost; a sum of sums is the same sum), their (deal, supplier) pairs are the
+    # job-card users. The sum runs on exact integer units (long arithmetic) and becomes a decimal once per deal.
     unit = F.lit(Decimal(1).scaleb(-roles.UNIT_SCALE))
-    line_costs = per_pair.select("invoice_id", (F.col("_units").cast("decimal(38,0)") * unit).alias("line_cost"))
+    line_costs = lines_by_deal(t, facts).select(
+        F.col("l_orderkey").alias("invoice_id"), (F.col("_units").cast("decimal(38,0)") * unit).alias("line_cost"))
     users = (t.supplier.join(g, F.col("s_nationkey") == F.col("n_nationkey"), "left")
              .select(F.col("s_suppkey").alias("_user"),
                      full_name(roles.advisor_first(), "r_name", lower=True).alias("advisor_name")))
-    advisors = (per_pair.select(F.col("invoice_id").alias("job_card_id"), "user_id")
+    advisors = (lines_by_pair(t, facts).select(F.col("l_orderkey").alias("job_card_id"), F.col("l_suppkey").alias("user_id"))
                 .join(users, F.col("_user") == F.col("user_id"), "left")
                 .select("job_card_id", "advisor_name"))
     return invoices, line_costs, advisors

@@ -9,6 +9,8 @@ same text, so the two cannot drift.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,13 +70,23 @@ LINE_COST_SQL = {
 }
 
 
+def cents(column: str) -> Column:
+    """A price (two decimals) as a whole number of cents."""
+    return F.round(F.col(column) * 100).cast("long")
+
+
+def from_cents(total: Column) -> Column:
+    """A sum of cents as an exact decimal."""
+    return (total.cast("decimal(26,0)") * F.lit(Decimal("0.01"))).cast("decimal(28,2)")
+
+
 def line_cost_units() -> Column:
     """The same line cost as ``part_count * part_cost + labour_cost`` in exact integer units of
     1/10000 (prices and tax rates carry two decimals), so the per-row hot path is long
     arithmetic instead of decimal multiplication; null when the tax rate is 0, as above."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    price = cents("l_extendedprice")
     tax_pct = F.round(F.nullif(F.col("l_tax"), F.lit(0.0)) * 100).cast("long")
-    return F.col("l_quantity").cast("long") * cents * 100 + cents * tax_pct
+    return F.col("l_quantity").cast("long") * price * 100 + price * tax_pct
 
 
 UNIT_SCALE = 4

@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     # also where the split adds an exchange: chained joins on one key, a group-by on the join key
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # recording the Python call site of every column costs several calls into the JVM each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

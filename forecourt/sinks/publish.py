@@ -2,8 +2,11 @@
 export with blanks for nulls.
 
 A *published table* is a folder with one sub-folder per version and a pointer file that names the
-current one. A version is written completely, given a manifest, and only then made current, so a
-failed write leaves the old version readable. :func:`published_table` reads the current version.
+current one. A version is written completely, given a manifest, and only then made current: the new pointer
+is written beside the old one and renamed over it, so readers see the old name or the new one and a crash
+at any point leaves the old version readable. The version before the current one is kept for readers that
+opened it. Rows are counted by an observation on the write itself; targets are not read back.
+:func:`published_table` reads the current version.
 """
 
 from __future__ import annotations
@@ -12,9 +15,10 @@ import datetime as dt
 import hashlib
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +31,7 @@ class _Folder:
     """Small files and folders through Hadoop, so that any store Spark writes to works."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.jvm, self.root = spark.sparkContext._jvm, path
+        self.jvm, self.gateway, self.root = spark.sparkContext._jvm, spark.sparkContext._gateway, path
         self.path = lambda *names: self.jvm.org.apache.hadoop.fs.Path("/".join([path, *names]))
         self.fs = self.path().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -45,6 +49,21 @@ class _Folder:
         stream.write(bytearray(text.encode()))
         stream.close()
 
+    def replace(self, text: str, name: str) -> None:
+        """Write a file beside ``name`` and rename it over ``name`` in one step."""
+        fresh, fs = f"{name}.{uuid.uuid4().hex}", self.jvm.org.apache.hadoop.fs
+        try:
+            files = fs.FileContext.getFileContext(self.fs.getUri(), self.fs.getConf())
+        except Py4JJavaError as problem:
+            if "UnsupportedFileSystem" not in problem.java_exception.getClass().getName():
+                raise
+            return self.write(text, name)  # an object store: the old object stays until the new one is whole
+        self.write(text, fresh)
+        rename = getattr(fs, "Options$Rename")
+        how = self.gateway.new_array(rename, 1)
+        how[0] = rename.OVERWRITE
+        files.rename(self.path(fresh), self.path(name), how)
+
     def drop(self, *names: str) -> None:
         self.fs.delete(self.path(*names), True)
 
@@ -68,12 +87,16 @@ def fingerprint(spark: SparkSession, inputs: Sequence[str] = (), **settings) ->
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def _commit(df: DataFrame, folder: _Folder, version: str, fmt: str, stamp: str, options: Mapping[str, str]) -> DataFrame:
-    """Write one version and its manifest (last), and read it back."""
+def _commit(df: DataFrame, folder: _Folder, version: str, fmt: str, stamp: str, options: Mapping[str, str],
+            **more) -> DataFrame:
+    """Write one version and its manifest (last); the rows are counted while they are written."""
     spark, path = df.sparkSession, f"{folder.root}/{version}"
-    df.write.mode("overwrite").format(fmt).options(**options).save(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt).options(**options).save(path)
     back = spark.read.schema(df.schema).options(**options).format(fmt).load(path)
-    folder.write(json.dumps({"rows": back.count(), "schema": df.schema.json(), "fingerprint": stamp}), version, MANIFEST)
+    rows = seen.get.get("rows")  # none if the plan was found to be empty before it ran
+    manifest = {"rows": back.count() if rows is None else rows, "schema": df.schema.json(), "fingerprint": stamp, **more}
+    folder.write(json.dumps(manifest), version, MANIFEST)
     return back
 
 
@@ -91,47 +114,72 @@ def committed_table(spark: SparkSession, path: str, stamp: str, fmt: str = "parq
     return table if table.count() == manifest["rows"] else None
 
 
-def stage_table(df: DataFrame, path: str, stamp: str, fmt: str = "parquet") -> DataFrame:
-    """The staged table at ``path``: reused if committed with the same fingerprint, else written anew."""
-    done = committed_table(df.sparkSession, path, stamp, fmt)
+def stage_table(df: DataFrame | Callable[[], DataFrame], path: str, stamp: str, fmt: str = "parquet",
+                spark: SparkSession | None = None) -> DataFrame:
+    """The staged table at ``path``: reused if committed with the same fingerprint, else written anew.
+
+    ``df`` may be a function (with ``spark``): it is called only if the table has to be written, so a rerun that
+    finds the stage builds nothing."""
+    spark = spark or df.sparkSession
+    done = committed_table(spark, path, stamp, fmt)
     if done is not None:
         return done
     parent, _, name = path.rpartition("/")
-    return _commit(df, _Folder(df.sparkSession, parent), name, fmt, stamp, {})
+    return _commit(df() if callable(df) else df, _Folder(spark, parent), name, fmt, stamp, {})
 
 
-def publish_table(df: DataFrame, target: str, fmt: str = "parquet", options: Mapping[str, str] | None = None) -> DataFrame:
-    """Overwrite one target: write a new version, point to it, then drop the older ones."""
+def publish_table(df: DataFrame, target: str, fmt: str = "parquet", options: Mapping[str, str] | None = None,
+                  **manifest) -> DataFrame:
+    """Overwrite one target: write a new version, point to it, then drop all others but the one before."""
     folder = _Folder(df.sparkSession, target)
-    version = f"version-{uuid.uuid4().hex}"
-    back = _commit(df, folder, version, fmt, "", options or {})
-    folder.write(version, POINTER)
+    version, before = f"version-{uuid.uuid4().hex}", folder.read(POINTER)
+    back = _commit(df, folder, version, fmt, "", options or {}, **manifest)
+    folder.replace(version, POINTER)
     for old in folder.folders():
-        if old != version:
+        if old not in (version, before):
             folder.drop(old)
     return back
 
 
 def published_table(spark: SparkSession, target: str, fmt: str = "parquet",
                     options: Mapping[str, str] | None = None) -> DataFrame:
-    """The current version of a published table."""
+    """The current version of a published table; of the text export with its line breaks."""
     folder = _Folder(spark, target)
     version = folder.read(POINTER)
-    if version is None:
+    if not version:
         raise FileNotFoundError(f"nothing is published at {target}")
-    schema = T.StructType.fromJson(json.loads(json.loads(folder.read(version, MANIFEST))["schema"]))
-    return spark.read.schema(schema).options(**(options or {})).format(fmt).load(f"{target}/{version}")
+    manifest = json.loads(folder.read(version, MANIFEST))
+    schema = T.StructType.fromJson(json.loads(manifest["schema"]))
+    table = spark.read.schema(schema).options(**(options or {})).format(fmt).load(f"{target}/{version}")
+    escaped = manifest.get("escaped", [])
+    return table.withColumns({c: _unescape(F.col(c)) for c in escaped}) if escaped else table
 
 
 #: Text export: a header, quotes doubled, spaces kept. The export has no nulls; their mark is one that no
-#: value has, so that blanks read back as blanks.
-TEXT_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "nullValue": "\u0001",
+#: value has, so that blanks read back as blanks. A row is one line, so files are split among tasks when read.
+TEXT_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "nullValue": "\u0001",
                 "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+#: Line breaks of values, and the sign that escapes them, in the text export.
+ESCAPES = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _escape(c: Column) -> Column:
+    for plain, code in ESCAPES:
+        c = F.replace(c, F.lit(plain), F.lit(code))
+    return c
+
+
+def _unescape(c: Column) -> Column:
+    for plain, code in reversed(ESCAPES):
+        c = F.replace(c, F.lit(code), F.lit(plain))
+    return c
 
 
 def publish_text(df: DataFrame, target: str, money_scale: Mapping[str, int] | None = None) -> DataFrame:
-    """The blank-filled text of ``df`` as CSV with a header (the spreadsheet export)."""
-    return publish_table(blank_fill(df, money_scale), target, "csv", TEXT_OPTIONS)
+    """The blank-filled text of ``df`` as CSV with a header (the spreadsheet export), one line a row."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in (money_scale or {})]
+    lines = blank_fill(df, money_scale).withColumns({c: _escape(F.col(c)) for c in texts})
+    return publish_table(lines, target, "csv", TEXT_OPTIONS, escaped=texts)
 
 
 def publish_snapshot(df: DataFrame, targets: Sequence[str], fmt: str = "parquet",
@@ -189,7 +237,7 @@ def blank_fill(df: DataFrame, money_scale: Mapping[str, int] | None = None) -> D
 
 
 def publish_margin(
-    margin: DataFrame,
+    margin: DataFrame | Callable[[], DataFrame],
     refurb: DataFrame,
     *,
     full_targets: Sequence[str],
@@ -207,9 +255,9 @@ def publish_margin(
 
     The margin plan runs once, into ``staging``; the full targets and the trailing subset are derived
     from that written table, filtering on its typed date column. ``fmt="csv"`` publishes every margin
-    target as blank-filled text.
+    target as blank-filled text. ``margin`` may be a function, called only if ``staging`` holds no such table.
     """
-    base = stage_table(margin, staging, stamp)
+    base = stage_table(margin, staging, stamp, spark=refurb.sparkSession)
     out = {"full": publish_snapshot(base, full_targets, fmt, money_scale=money_scale), "trailing": [], "refurb": []}
     if trailing_target:
         trailing = trailing_window(base, "delivery_time", as_of, days, status_col="deal_status", status="Delivered")

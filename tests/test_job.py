@@ -24,13 +24,16 @@ def test_job_publishes_all_targets(spark):
     assert published_table(spark, written["refurb"][0]).count() == QUERIES["refurb_cost_per_vehicle"](spark, SF).count()
 
 
-def test_rerun_with_run_id_reuses_committed_stages(spark):
+def test_rerun_with_run_id_reuses_committed_stages(spark, monkeypatch):
     out = shared_dir(spark, "job-test-resume")
     first = run(spark, "test", SF, out, copies=2, as_of=dt.datetime(2001, 8, 1), run_id="resume-check")
     stage = shared_dir(spark, "staging/resume-check")
     staged = spark.read.parquet(f"{stage}/margin_base")
     n = staged.count()
-    # a second run with the same id copies from the committed stage instead of recomputing
+    # a second run with the same id copies from the committed stages: no product is built, so nothing reads the sources
+    import forecourt.job as J
+
+    monkeypatch.setattr(J, "products_test_layout", lambda *a: (lambda: pytest.fail("built"),) * 2)
     second = run(spark, "test", SF, out, copies=2, as_of=dt.datetime(2001, 8, 1), run_id="resume-check")
     assert first == second
     assert all(published_table(spark, p).count() == n for p in second["full"])
@@ -130,7 +133,58 @@ def test_failed_copy_leaves_the_old_target_readable(spark):
     assert sorted(r.id for r in published_table(spark, target).collect()) == list(range(5))
     P.publish_table(spark.range(2), target)
     assert published_table(spark, target).count() == 2
-    assert len(P._Folder(spark, target).folders()) == 1
+    assert len(P._Folder(spark, target).folders()) == 2  # the current version and the one before, for its readers
+
+
+def test_crash_while_the_pointer_is_written_leaves_the_old_version(spark, monkeypatch):
+    target = scratch_path(spark, "target")
+    P.publish_table(spark.range(5), target)
+    reader = published_table(spark, target)
+    whole = P._Folder.write
+
+    def dies(self, text, *names):
+        if not names[-1].startswith(P.POINTER):
+            return whole(self, text, *names)
+        self.fs.create(self.path(*names), True).write(bytearray(text[:3].encode()))  # between create and close
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(P._Folder, "write", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        P.publish_table(spark.range(7), target)
+    monkeypatch.undo()
+    assert published_table(spark, target).count() == 5
+    P.publish_table(spark.range(9), target)
+    assert published_table(spark, target).count() == 9 and reader.count() == 5
+
+
+def test_targets_are_counted_while_they_are_written(spark, monkeypatch):
+    import json
+
+    monkeypatch.setattr(type(spark.range(1)), "count", lambda self: pytest.fail("a target was read back"))
+    for df, rows in ((spark.range(1000).repartition(7), 1000), (spark.range(10).where("id > 100").repartition(2), 0)):
+        target = scratch_path(spark, "target")
+        P.publish_table(df, target)
+        folder = P._Folder(spark, target)
+        assert json.loads(folder.read(folder.read(P.POINTER), P.MANIFEST))["rows"] == rows
+
+
+def test_text_target_is_one_line_a_row(spark):
+    texts = ["a\nb", "\\n", "\\", "x\r\ny", 'q"u,o', "", " b ", "\\b\n", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, t string").coalesce(1)
+    target = scratch_path(spark, "lines")
+    P.publish_text(df, target)
+    back = {r.id: r.t for r in published_table(spark, target, "csv", P.TEXT_OPTIONS).collect()}
+    assert back == {str(i): t or "" for i, t in enumerate(texts)}
+    version = P._Folder(spark, target).read(P.POINTER)
+    assert spark.read.text(f"{target}/{version}").count() == len(texts) + 1 and "multiLine" not in P.TEXT_OPTIONS
+    big = scratch_path(spark, "many")
+    P.publish_text(spark.range(200_000).selectExpr("id", "repeat('x', 20) t").coalesce(1), big)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        assert published_table(spark, big, "csv", P.TEXT_OPTIONS).rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_text_target_has_blanks_and_a_header(spark):

@@ -1,8 +1,16 @@
 """Plan-shape checks: the physical plan is the one intended, not just the result."""
 
+import uuid
+
 import pytest
 
+from forecourt.plans import deals
+from forecourt.plans.deals import deal_master_frame
+from forecourt.plans.margin import margin_base_frame
+from forecourt.plans.refurb import refurb_cost
+from forecourt.plans.refurb_testdata import refurb_inputs
 from forecourt.plans.registry import QUERIES, load_all
+from forecourt.sources.tables import Tables
 
 load_all()
 SF = "/root/testdata/sf0.001"
@@ -57,30 +65,66 @@ def test_merge_reads_each_side_once(spark):
     assert _plan(df).split("== Initial Plan ==")[0].count("ReusedSubquery") >= 1
 
 
-def _final(spark, key) -> str:
-    """The adaptive plan that ran, with broadcasts off (the large-data case)."""
+def _final(spark, build) -> str:
+    """The adaptive plan that ran, with broadcasts off (the large-data case). Building it runs no job."""
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    sc = spark.sparkContext
     try:
-        df = QUERIES[key](spark, SF).select("*")
+        tables = Tables(spark, SF)
+        for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
+            tables[name]  # opening a table looks into its footer
+        sc.setJobGroup(group := f"build-{uuid.uuid4().hex}", "")
+        df = build(tables).select("*")
+        assert not sc.statusTracker().getJobIdsForGroup(group)
         df.collect()
         return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-@pytest.mark.parametrize("key, exchanges", [("ranked_dedup_rollup", 7), ("refurb_cost_per_vehicle", 14)])
-def test_rank_first_prunes_before_the_shuffle(spark, key, exchanges):
-    plan = _final(spark, key)
-    assert "WindowGroupLimit" in plan and plan.count("lineitem.parquet") <= 1
-    assert plan.count("Exchange ") <= exchanges
+def _scans(plan: str) -> dict[str, int]:
+    return {name: plan.count(f"{name}.parquet") for name in ("lineitem", "events", "orders")}
+
+
+def _refurb(t):
+    return refurb_cost(*refurb_inputs(t), out_type="double")
+
+
+def test_rank_first_prunes_before_the_shuffle(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES["ranked_dedup_rollup"](spark, SF)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "WindowGroupLimit" in plan and plan.count("Exchange ") <= 7 and plan.count("lineitem.parquet") <= 1
+
+
+def test_refurb_cost_reads_each_table_once(spark):
+    plan = _final(spark, _refurb)
+    assert "WindowGroupLimit" in plan and _scans(plan) == {"lineitem": 1, "events": 0, "orders": 1}
+    assert plan.count("Exchange ") - plan.count("BroadcastExchange ") - plan.count("ReusedExchange ") <= 13
+
+
+@pytest.mark.parametrize("build, orders", [(deal_master_frame, 1), (margin_base_frame, 2)])
+def test_deal_products_read_the_big_tables_once(spark, build, orders):
+    """No job at build time, so this plan is all that runs: the lines and the log are read once, the orders once for all
+    branches by deal and, in the margin base, once for the invoices (with their date floor pushed down)."""
+    plan = _final(spark, build)
+    assert _scans(plan) == {"lineitem": 1, "events": 1, "orders": orders} and "ReusedExchange" in plan
 
 
-@pytest.mark.parametrize("key", ["deal_master", "margin_base"])
-def test_deal_products_read_the_big_tables_once(spark, key):
-    # the aggregates over the log and the lines are written once; the plan reads those
-    plan = _final(spark, key)
-    assert plan.count("events.parquet") <= 1 and plan.count("lineitem.parquet") <= 1
+def test_rows_without_a_target_are_not_shuffled(spark):
+    plan = _final(spark, lambda t: deals.resolve_sources(t.events.select("event_id", "user_id", "event_type"), t))
+    union = plan[plan.index("Union"):]
+    joined, past = union.split("events.parquet", 1)
+    assert "In(event_type, [click,purchase,view])" in union and "Exchange" in joined
+    # the branch past the join: from its scan up to the union there is no exchange
+    assert past.count("events.parquet") == 1 and "Exchange" not in past[past.rindex("*("):past.index("events.parquet")].split("FileScan")[0]
 
 
 def test_latest_per_key_is_one_aggregate(spark):
@@ -93,8 +137,8 @@ def test_latest_per_key_is_one_aggregate(spark):
 def test_repeat_deal_predecessor_runs_by_lead_and_month(spark):
     plan = _plan(QUERIES["repeat_deal_lag"](spark, SF))
     assert "rangepartitioning" not in plan
-    # the rows are dealt by (lead, bucket); only one row per bucket goes by lead alone
-    assert "_bucket" in plan and "partial_max(struct" in plan
+    # the rows are dealt by (lead, bucket, range); only one row per segment goes by lead alone
+    assert "_bucket" in plan and "_part0" in plan and "partial_max(struct" in plan
 
 
 def test_null_safe_merge_is_one_equi_join(spark):

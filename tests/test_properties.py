@@ -4,6 +4,7 @@ import itertools
 from collections import Counter
 
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -152,6 +153,37 @@ def test_bucketed_lag_on_a_million_rows_with_a_hot_group(spark):
         spark.conf.set("spark.sql.exchange.reuse", old)
 
 
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 1), st.one_of(st.none(), st.integers(0, 3), st.integers(0, 10**17)),
+                          st.one_of(st.none(), st.integers(0, 40))), min_size=1, max_size=40), st.integers(0, 3), st.integers(2, 9))
+def test_segmented_lag_equals_window_lag(spark, rows, cuts, share):
+    # One bucket for all, cut into ranges of the first and the second order column: crowded, equal and null values.
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "n long, g long, t long, id long")
+    order = [F.col(c).asc_nulls_last() for c in ("t", "id", "n")]
+    want = windows.with_previous(df, ["g"], order, ["n"])
+    got = windows.previous_in_range(df, ["g"], ["t", "id", "n"], ["n"], bucket=F.lit(1), hot_share=share, hot_rows=1, cuts=cuts)
+    assert _multiset(got.select("n", "prev_n")) == _multiset(want.select("n", "prev_n"))
+
+
+@pytest.mark.parametrize("seconds", [86400 * 20, 1])
+def test_one_lead_and_one_month_is_many_tasks(spark, seconds):
+    """A million rows of one lead in one month (then in one second): the window's tasks get about as many rows each."""
+    df = spark.range(0, 1_000_000, numPartitions=8).select(
+        "id", F.lit(1).alias("g"), F.timestamp_seconds(F.lit(0) + F.pmod(F.xxhash64("id"), F.lit(seconds))).cast("timestamp_ntz").alias("t"))
+    got = windows.previous_in_range(df, ["g"], ["t", "id"], ["id"], hot_share=40, hot_rows=10_000)
+    want = windows.with_previous(df, ["g"], [F.col("t"), F.col("id")], ["id"])
+    assert got.select("id", "prev_id").exceptAll(want.select("id", "prev_id")).count() == 0
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled"), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old[0])
+        spark.conf.set("spark.sql.shuffle.partitions", old[1])
+    assert len(sizes) >= 10 and max(sizes) < 250_000
+
+
 #: Labels typed in by hand from the rules of the workload: (lead status, bank status, deal status) -> label.
 HAND_LABELS = [
     (0, 0, "Token Collected", "Loan Logged In"), (0, 0, "Deal Cancelled", "Customer Not Interested"),
