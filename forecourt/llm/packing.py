@@ -47,7 +47,7 @@ def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, end_id
                      ("doc_tokens", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, ids in Encoder(tokenizer).batches(batches, "text"):
+        for b, ids in Encoder.of(tokenizer).batches(batches, "text"):
             rows = []
             for doc_id, x in zip(b.column(0).to_pylist(), ids):
                 data, n = x.astype("<u4").tobytes() + end, len(x) + 1

@@ -170,7 +170,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
     end = np.uint32(end_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, ids in Encoder(tokenizer).batches(batches, "text"):
+        for b, ids in Encoder.of(tokenizer).batches(batches, "text"):
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([_narrow(np.append(x, end)) for x in ids], pa.binary()), b.column(2)],
                 names=["doc_id", "ids", "part"])

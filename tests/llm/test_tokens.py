@@ -45,6 +45,27 @@ def test_added_tokens_as_the_file_has_them(path):
             assert ids[lo:hi].tolist() == library.encode(text or "", add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_every_code_point_before_a_stop_and_a_space(path):
+    """Letters that composition takes apart end in a mark, which goes into one piece with a full stop."""
+    encoder = Encoder.of(path)
+    points = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x30000), *range(0xE0000, 0xE0200)]]
+    for form in ("{0}.", "a{0}, b", "{0} {0}"):
+        texts = [form.format(c) for c in points]
+        want = [e.ids for e in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids, bounds = encoder.block(pa.array(texts, pa.string()))
+        assert [t for t, w, lo, hi in zip(texts, want, bounds.tolist(), bounds[1:].tolist()) if w != ids[lo:hi].tolist()] == []
+
+
+def test_the_memo_is_bounded_and_outlives_blocks(monkeypatch):
+    encoder = Encoder(BYTE)
+    monkeypatch.setattr(Encoder, "MEMO", 50)
+    for k in range(20):
+        text = " ".join(f"w{chr(97 + k)}{chr(97 + i % 26)}" for i in range(40))
+        ids, _ = encoder.block(pa.array([text], pa.string()))
+        assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids and len(encoder.memo) <= 50 + 40
+
+
 def test_elias_fano_selects_every_value():
     rng = random.Random(1)
     for n in (0, 1, 2, 255, 256, 257, 3000):
