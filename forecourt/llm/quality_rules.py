@@ -6,9 +6,10 @@ against fences that each (lang, source) group sets for itself:
 * a sketch is the table of counts per logarithmic bucket (exact below 64, then 32 buckets for
   each doubling, so a quantile is off by at most 1/32 of itself). Two sketches merge by adding
   counts, which is what the partial aggregation and the coarser levels (lang, everything) do;
-* the fences are ``q75 + SPREAD * (q75 - q25) + slack`` and, for the word length, the same
-  downwards from q25. A group of fewer than ``MIN_SUPPORT`` documents uses its language's
-  sketch, and if that is small too, the sketch of all documents;
+* the upper fence is ``q50 + SPREAD * (q50 - q25) + slack``, the lower one, for the word length,
+  ``q50 - SPREAD * (q75 - q50) - slack``: the spread is taken on the side away from the fence, so junk that
+  lies beyond a fence moves it only when it is half of its group. A group of fewer than ``MIN_SUPPORT`` documents
+  uses its language's sketch, and if that is small too, the sketch of all documents;
 * the fences are joined to the documents by (lang, source), nulls being a group like any other.
 
 Defined results: a null text has no words; a text without words fails the base rules; repeated
@@ -28,8 +29,8 @@ from forecourt.llm.common import ASCII_SPACE, materialise, text_or_empty
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Width of the fences in quartile distances, and the smallest group that sets its own.
-SPREAD = 4
+#: Width of the fences in distances of a quartile from the median, and the smallest group that sets its own.
+SPREAD = 9
 MIN_SUPPORT = 200
 #: measure: (numerator, factor), fenced below as well, slack. All are per word.
 MEASURES = {
@@ -100,15 +101,14 @@ def sketches(counted: DataFrame) -> DataFrame:
 
 
 def quartiles(sketch: DataFrame, *level: str) -> DataFrame:
-    """level columns, measure, support, q25, q75 of the sketches merged to ``level``."""
+    """level columns, measure, support, q25, q50, q75 of the sketches merged to ``level``."""
     merged = sketch.groupBy(*level, "measure", "bucket").agg(F.sum("n").alias("n"))
     whole = Window.partitionBy(*level, "measure")
     ranked = (merged.withColumn("support", F.sum("n").over(whole))
               .withColumn("below", F.sum("n").over(whole.orderBy("bucket"))).withColumn("top", bucket_top("bucket")))
     return ranked.groupBy(*level, "measure").agg(
         F.max("support").alias("support"),
-        F.min(F.when(4 * F.col("below") >= F.col("support"), F.col("top"))).alias("q25"),
-        F.min(F.when(4 * F.col("below") >= 3 * F.col("support"), F.col("top"))).alias("q75"))
+        *[F.min(F.when(4 * F.col("below") >= k * F.col("support"), F.col("top"))).alias(f"q{25 * k}") for k in (1, 2, 3)])
 
 
 def fences(sketch: DataFrame) -> DataFrame:
@@ -122,13 +122,13 @@ def fences(sketch: DataFrame) -> DataFrame:
         return (F.when(F.col("a.support") >= MIN_SUPPORT, F.col(f"a.{q}"))
                 .when(F.col("b.support") >= MIN_SUPPORT, F.col(f"b.{q}")).otherwise(F.col(f"c.{q}")))
 
-    rows = joined.select("a.lang", "a.source", "a.measure", chosen("q25").alias("q25"), chosen("q75").alias("q75"))
-    spread = SPREAD * (F.col("q75") - F.col("q25"))
+    rows = joined.select("a.lang", "a.source", "a.measure", *[chosen(q).alias(q) for q in ("q25", "q50", "q75")])
+    q25, q50, q75 = F.col("q25"), F.col("q50"), F.col("q75")
     out = []
     for m, (_, _, low, slack) in MEASURES.items():
-        out.append(F.max(F.when(F.col("measure") == m, F.col("q75") + spread + slack)).alias(f"hi_{m}"))
+        out.append(F.max(F.when(F.col("measure") == m, q50 + SPREAD * (q50 - q25) + slack)).alias(f"hi_{m}"))
         if low:
-            out.append(F.max(F.when(F.col("measure") == m, F.col("q25") - spread - slack)).alias(f"lo_{m}"))
+            out.append(F.max(F.when(F.col("measure") == m, q50 - SPREAD * (q75 - q50) - slack)).alias(f"lo_{m}"))
     return rows.groupBy("lang", "source").agg(*out)
 
 

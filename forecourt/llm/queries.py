@@ -34,20 +34,20 @@ def quality_rules_sql(docs: str = "documents") -> str:
     unpivot = " UNION ALL ".join(
         f"SELECT lang, source, '{m}' AS measure, {v} AS v FROM counted WHERE NOT base_failed" for m, v in values.items())
     chosen = {x: f"CASE WHEN a.support >= {q.MIN_SUPPORT} THEN a.{x} WHEN b.support >= {q.MIN_SUPPORT} THEN b.{x}"
-                 f" ELSE c.{x} END" for x in ("q25", "q75")}
-    spread = f"{q.SPREAD} * (q75 - q25)"
+                 f" ELSE c.{x} END" for x in ("q25", "q50", "q75")}
     cols, fits = [], []
     for m, (_, _, low, slack) in q.MEASURES.items():
-        cols.append(f"max(CASE WHEN measure = '{m}' THEN q75 + {spread} + {slack} END) AS hi_{m}")
+        cols.append(f"max(CASE WHEN measure = '{m}' THEN q50 + {q.SPREAD} * (q50 - q25) + {slack} END) AS hi_{m}")
         fits.append(f"{values[m]} <= f.hi_{m}")
         if low:
-            cols.append(f"max(CASE WHEN measure = '{m}' THEN q25 - {spread} - {slack} END) AS lo_{m}")
+            cols.append(f"max(CASE WHEN measure = '{m}' THEN q50 - {q.SPREAD} * (q75 - q50) - {slack} END) AS lo_{m}")
             fits.append(f"{values[m]} >= f.lo_{m}")
 
     def level(*by: str) -> str:
         keys = ", ".join((*by, "measure"))
         return f"""SELECT {keys}, max(support) AS support,
           min(CASE WHEN 4 * below >= support THEN top END) AS q25,
+          min(CASE WHEN 4 * below >= 2 * support THEN top END) AS q50,
           min(CASE WHEN 4 * below >= 3 * support THEN top END) AS q75
         FROM (SELECT {keys}, sum(n) OVER (PARTITION BY {keys}) AS support,
                      sum(n) OVER (PARTITION BY {keys} ORDER BY bucket) AS below,
@@ -83,7 +83,7 @@ WITH rows_ AS (
          AS bucket, count(*) AS n
   FROM ({unpivot}) GROUP BY ALL
 ), a AS ({level("lang", "source")}), b AS ({level("lang")}), c AS ({level()}), chosen AS (
-  SELECT a.lang, a.source, a.measure, {chosen["q25"]} AS q25, {chosen["q75"]} AS q75
+  SELECT a.lang, a.source, a.measure, {chosen["q25"]} AS q25, {chosen["q50"]} AS q50, {chosen["q75"]} AS q75
   FROM a JOIN b ON a.lang IS NOT DISTINCT FROM b.lang AND a.measure = b.measure JOIN c ON a.measure = c.measure
 ), f AS (SELECT lang, source, {", ".join(cols)} FROM chosen GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -148,6 +148,21 @@ def test_fences_are_each_groups_own(spark, make_docs):
     assert quality_rules.quality_rules(make_docs([])).count() == 0
 
 
+@pytest.mark.parametrize("junk_word", ["{}$$$", "{0}{0}{0}{0}{0}{0}", "{0[0]}"])
+def test_junk_in_two_fifths_of_a_source_goes(spark, make_docs, junk_word):
+    """Symbols on every word, words far too long, words of one letter."""
+    rng = random.Random(8)
+
+    def text(form="{}"):
+        return " ".join(form.format("".join(rng.choice("abcdefghij") for _ in range(rng.randint(6, 12)))) for _ in range(120))
+
+    clean = [(i, text(), "en", "s") for i in range(600)]
+    junk = [(1000 + i, text(junk_word), "en", "s") for i in range(400)]
+    other = [(5000 + i, text(), "en", "t") for i in range(300)]
+    kept = {r.doc_id for r in quality_rules.quality_rules(make_docs(clean + junk + other)).where("kept").collect()}
+    assert not kept & {r[0] for r in junk} and len(kept) >= 0.99 * 900
+
+
 def test_sketch_buckets_merge_and_bound_the_error(spark):
     df = spark.range(0, 100_000, 7).withColumn("b", quality_rules.bucket("id").cast("long"))
     df = df.withColumn("top", quality_rules.bucket_top("b"))

@@ -49,7 +49,7 @@ def test_added_tokens_as_the_file_has_them(path):
 def test_every_code_point_before_a_stop_and_a_space(path):
     """Letters that composition takes apart end in a mark, which goes into one piece with a full stop."""
     encoder = Encoder.of(path)
-    points = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x30000), *range(0xE0000, 0xE0200)]]
+    points = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x10000)]]
     for form in ("{0}.", "a{0}, b", "{0} {0}"):
         texts = [form.format(c) for c in points]
         want = [e.ids for e in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
