@@ -1,13 +1,19 @@
 """Exact top-k inner-product search by the threshold algorithm.
 
-The vectors are dealt into shards of bounded size. A shard keeps, for every dimension, the list
-of its vectors sorted by that component. A query walks all lists in step, from the large end
+The vectors are dealt into shards of bounded size, each shuffled to one task a single time; the queries
+are copied to every shard and stream past it in blocks, behind its vectors. A shard keeps, for every
+dimension, the list of its vectors sorted by that component. A query walks all lists in step, from the large end
 where its own component is positive and from the small end where it is negative. After depth
 ``t`` no unseen vector of the shard can score more than the sum over the dimensions of the query
 component times the last component read; the walk stops as soon as that bound is *below* the
 k-th best score (below, not equal: an unseen vector with an equal score and a smaller id would
 win). Shard results are merged to the k best of each query.
 
+Cost: the vectors are shuffled once, the queries once per shard, and a task holds one shard
+(``COMPONENTS_A_SHARD`` components and their lists) and one batch of queries. Where the vectors have
+no preferred direction (many independent dimensions of equal spread), the bound falls only when most
+of a shard is read, and the work is the product of queries and vectors.
+
 Defined results: components become ``floor(256 * x)`` in double arithmetic. A vector that is
 null, empty, or has a null, NaN or infinite component takes no part, neither as a query nor as
 a candidate; a null id takes no part either. Vectors of unlike length are not compared. A row is
@@ -24,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import materialise, shuffle_partitions
+from forecourt.llm.common import batch, materialise
 
 K = 5
-#: Queries of one (shard, query group) unit, and vectors of one shard: the memory bound of a task.
+#: Queries that pass a shard at a time, and components of one shard: the memory bound of a task.
 QUERIES_A_UNIT = 2048
-VECTORS_A_SHARD = 8192
+COMPONENTS_A_SHARD = 1 << 19
 FIRST_DEPTH = 64
 
 
@@ -99,44 +105,62 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1)
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, vectors_a_shard: int = VECTORS_A_SHARD,
+def _runs(rows: pa.RecordBatch, most: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """((part, asked), rows) for the stretches of a sorted batch, of at most ``most`` rows each."""
+    part, asked = np.asarray(rows["part"]), np.asarray(rows["asked"].cast(pa.int8()))
+    ends = np.flatnonzero((np.diff(part) != 0) | (np.diff(asked) != 0)) + 1
+    for lo, hi in zip([0, *ends.tolist()], [*ends.tolist(), rows.num_rows]):
+        for at in range(lo, hi, most):
+            yield (int(part[lo]), bool(asked[lo])), rows.slice(at, min(most, hi - at))
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, vectors_a_shard: int | None = None,
           queries_a_unit: int = QUERIES_A_UNIT) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of ``vectors`` for each row of ``queries``
     (both as :func:`integer_vectors` gives them)."""
     spark = vectors.sparkSession
     rows = vectors.groupBy(F.size("v").alias("dim")).count().collect()  # one row for each vector length
-    asked = {r["dim"]: r["count"] for r in queries.groupBy(F.size("v").alias("dim")).count().collect()}
-    shards = {r["dim"]: max(1, -(-r["count"] // vectors_a_shard)) for r in rows if r["dim"] in asked}
-    groups = {d: max(1, -(-asked[d] // queries_a_unit)) for d in shards}
+    asked = {r["dim"] for r in queries.select(F.size("v").alias("dim")).distinct().collect()}
+    shards = {r["dim"]: max(1, -(-r["count"] // (vectors_a_shard or max(1, COMPONENTS_A_SHARD // r["dim"]))))
+              for r in rows if r["dim"] in asked}
     if not shards:
         empty = "query_id long, rank int, vec_id long, score long"
         return spark.createDataFrame([], empty)
+    before = dict(zip(shards, np.cumsum([0, *shards.values()]).tolist()))  # the first part of each length
 
     def by_dim(table: dict[int, int]) -> F.Column:
         return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])[F.size("v")]
 
-    dealt = F.xxhash64("vec_id")
+    first, count = by_dim(before), by_dim(shards)
     left = (vectors.where(F.size("v").isin(list(shards)))
-            .select("vec_id", "v", F.size("v").alias("dim"), F.pmod(dealt, by_dim(shards)).cast("int").alias("shard"),
-                    F.explode(F.sequence(F.lit(0), by_dim(groups) - 1)).alias("unit")))
+            .select("vec_id", "v", (first + F.pmod(F.xxhash64("vec_id"), count)).cast("int").alias("part"),
+                    F.lit(False).alias("asked")))
     right = (queries.where(F.size("v").isin(list(shards)))
-             .select("vec_id", "v", F.size("v").alias("dim"),
-                     F.explode(F.sequence(F.lit(0), by_dim(shards) - 1)).alias("shard"),
-                     F.pmod(dealt, by_dim(groups)).cast("int").alias("unit")))
+             .select("vec_id", "v", F.explode(F.sequence(first, first + count - 1)).alias("part"), F.lit(True).alias("asked")))
+    dealt = left.unionByName(right).repartitionById(sum(shards.values()), "part").sortWithinPartitions("part", "asked")
     out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
-    def walk(ours: pa.Table, theirs: pa.Table) -> pa.Table:
-        if not ours.num_rows or not theirs.num_rows:
-            return out.empty_table()
-        lists = SortedLists(np.asarray(ours["vec_id"]), _matrix(ours["v"].combine_chunks()))
-        found = [(q, *lists.top(q, v, k)) for q, v in
-                 zip(np.asarray(theirs["vec_id"]).tolist(), _matrix(theirs["v"].combine_chunks()))]
-        return pa.table([np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype(np.int64),
-                         np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found])], schema=out)
-
-    keys = ("dim", "shard", "unit")
-    found = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
-             .applyInArrow(walk, "query_id long, vec_id long, score long"))
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, held, lists = None, [], None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            for (part, is_query), run in _runs(b, queries_a_unit):
+                if part != shard:
+                    shard, held, lists = part, [], None
+                ids, values = np.asarray(run["vec_id"]), _matrix(run["v"])
+                if not is_query:
+                    held.append((ids.copy(), values.copy()))
+                    continue
+                if lists is None and held:
+                    lists = SortedLists(*(np.concatenate(x) for x in zip(*held)))
+                    held = []
+                if lists is not None:  # else no vector was dealt to this shard
+                    found = [(q, *lists.top(q, v, k)) for q, v in zip(ids.tolist(), values)]
+                    yield batch(out, query_id=np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype(np.int64),
+                                vec_id=np.concatenate([f[1] for f in found]), score=np.concatenate([f[2] for f in found]))
+
+    found = dealt.mapInArrow(walk, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -64,12 +64,31 @@ def test_walk_stops_early_and_is_exact():
 
 def test_vectors_that_take_no_part(spark):
     rows = [(0, [1.0, 0.5]), (50, None), (100, [float("nan"), 1.0]), (150, [float("inf"), 1.0]), (200, [None, 1.0]), (None, [1.0, 1.0]),
-            (1, [1.0, 0.5]), (2, []), (0, [0.25, 0.25])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumnRenamed("x", "x")
+            (1, [1.0, 0.5]), (2, []), (0, [0.25, 0.25]), (3, [1.0])]
+    df = spark.createDataFrame([(*r, "x", 7, True) for r in rows],
+                               "vec_id long, embedding array<double>, v string, part int, asked boolean")
     vectors = topk.integer_vectors(df)
     found = sorted(tuple(r) for r in topk.top_k(vectors, vectors.where("vec_id % 50 = 0")).collect())
-    assert [r[:3] for r in found] == [(0, 1, 1), (0, 1, 1)] or len(found) == 2
-    assert topk.top_k(vectors.where("false"), vectors).count() == 0
+    # two queries share the id 0; a row of the same id is no candidate, so each has row 1 alone
+    assert sorted((q, i, s) for q, _, i, s in found) == [(0, 1, 64 * 256 + 64 * 128), (0, 1, 256 * 256 + 128 * 128)]
+    assert sorted(r[1] for r in found) == [1, 2]
+    assert topk.top_k(vectors.where("false"), vectors).count() == 0 and topk.top_k(vectors, vectors.where("false")).count() == 0
+
+
+def test_vectors_are_shuffled_once_and_queries_pass_in_blocks(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.randint(-9, 9) for _ in range(5)]) for i in range(400)] + [(7, [9, 9, 9, 9, 9])] * 3
+    frame = spark.createDataFrame([(i, [float(x) / 256 for x in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    vectors = topk.integer_vectors(frame)
+    result = topk.top_k(vectors, vectors, vectors_a_shard=50, queries_a_unit=16)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") == 1  # the queries alone are copied
+    assert plan.count("Exchange ") == 2, plan  # to the shards, and the shards' results to their query
+    brute = []
+    for q in sorted({q for q, _ in rows}):  # the four queries of id 7 are one query in the result
+        scored = [(-sum(a * b for a, b in zip(v, w)), i) for x, v in rows if x == q for i, w in rows if i != q]
+        brute += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored)[:5])]
+    assert sorted(tuple(r) for r in result.collect()) == brute
 
 
 # --- url filter -----------------------------------------------------------------------------
