@@ -125,8 +125,11 @@ def url_filter_sql() -> str:
     """The rules tried one by one on every row; no index, no tokens."""
     domain = " UNION ALL ".join(
         f"SELECT '{a}' AS action, '{h}' AS rhost, '{p}' AS rpath" for a, h, p in url_filter.DOMAIN_RULES)
-    blocked = " OR ".join(
-        "regexp_matches(p.url, '(?i)" + url_filter.pattern_rule(p).regex + "')" for p in url_filter.PATTERNS)
+    patterns = [url_filter.pattern_rule(p) for p in url_filter.PATTERNS]
+
+    def any_of(action: str) -> str:
+        return " OR ".join(f"regexp_matches(p.url, '(?i){r.regex}')" for r in patterns if r.action == action)
+
     return f"""
 WITH rules AS ({domain}), u AS (
   SELECT page_id, url, coalesce(strpos(url, '://'), 0) AS pos,
@@ -143,7 +146,7 @@ WITH rules AS ({domain}), u AS (
   FROM d JOIN rules ON (host = rhost OR suffix(host, '.' || rhost)) AND prefix(path, rpath)
 )
 SELECT page_id, host, path, f.rule AS rule,
-       CASE WHEN f.rule IS NOT NULL THEN f.action WHEN {blocked} THEN 'block' ELSE 'allow' END AS verdict
+       CASE WHEN f.rule IS NOT NULL THEN f.action WHEN ({any_of('block')}) AND NOT ({any_of('allow')}) THEN 'block' ELSE 'allow' END AS verdict
 FROM p LEFT JOIN f ON p.url = f.url AND f.k = 1
 """
 

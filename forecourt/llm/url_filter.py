@@ -8,13 +8,16 @@ fewest URLs of the table hold (counted over all rows). A URL's own tokens fetch
 rules, and only those run their regular expression. Rules without a complete token sit in a
 short list that every URL tries.
 
-Pattern syntax (the common ad-filter one): ``*`` is any run of characters, ``^`` a separator or
-the end, everything else is literal, matching is case-insensitive and unanchored.
+Pattern syntax (the common ad-filter one): ``*`` is any run of characters, ``^`` a separator (anything
+but letters, digits, ``_``, ``%`` and ``-``) or an end of the url, a leading ``||`` the start of the host or
+of one of its parent domains, a leading or trailing ``|`` the start or end of the url, a leading ``@@`` an
+exception, a trailing ``$match-case`` keeps letter case; any other option is an error. All else is
+literal, and matching is case-insensitive and unanchored.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and fits no
 domain rule; patterns still look at the url text; a null url fits nothing. Among domain rules
 that fit the longest rule text wins, then the longer host, then ``block``. A URL that fits no
-domain rule is blocked if a pattern fits, else allowed. Repeated rows are judged alike, extra
+domain rule is blocked if a pattern fits and no exception does, else allowed. Repeated rows are judged alike, extra
 columns are ignored, an empty table gives an empty result.
 """
 
@@ -44,6 +47,8 @@ PATTERNS = (
     "^adserver^", "^doubleclick^", "^banner^ads^", "^casino^", "^poker^", "^viagra^", "^porn^",
     "^xxx^", "^torrent^", "^warez^", "^phishing^", "^malware^", "^click^track^", "^affiliate^id=",
     "^popup^ads^", "^login^.php^redirect=", "^cgi-bin^tracker", "^escort^", "^lottery^winner^",
+    "||ads.", "||adserver", "||adult-", "||casino-", "||spam-", "||cheap-*-pills.", "||cheap-pills.", "-casino.", "-pills.",
+    "@@||adult-education.", "@@||spam-filter.", "@@/ads.txt",
 )
 
 TOKEN = re.compile(r"[a-z0-9]+")
@@ -59,6 +64,10 @@ class Rule:
     host: str
     regex: str
     tokens: tuple[str, ...]
+    match_case: bool = False
+
+    def compiled(self) -> re.Pattern:
+        return re.compile(self.regex, re.A if self.kind == "pattern" and self.match_case else re.I | re.A if self.kind == "pattern" else 0)
 
 
 def ascii_lower(text: str) -> str:
@@ -73,13 +82,25 @@ def domain_rule(action: str, host: str, path: str) -> Rule:
                 tuple(TOKEN.findall(ascii_lower(host)) + TOKEN.findall(ascii_lower(closed))))
 
 
-def pattern_rule(text: str, action: str = "block") -> Rule:
-    """An unanchored pattern; a token next to ``*`` or at an end of the pattern may go on in the url."""
-    text = ascii_lower(text)
-    parts = {"*": ".*", "^": r"(?:[^a-z0-9_%-]|^|$)"}
-    tokens = tuple(m.group() for m in TOKEN.finditer(text)
-                   if 0 < m.start() and m.end() < len(text) and "*" not in (text[m.start() - 1], text[m.end()]))
-    return Rule(action, "pattern", text, "", "".join(parts.get(c) or re.escape(c) for c in text), tokens)
+def pattern_rule(text: str) -> Rule:
+    """One pattern. A literal run next to ``*`` or at an open end of the pattern may go on in the url, so
+    it is no complete token."""
+    body, option, value = text.partition("$")
+    if option and value != "match-case":
+        raise ValueError(f"unknown option in pattern {text!r}")
+    exception = body.startswith("@@")
+    body = body[2:] if exception else body
+    domain, start = body.startswith("||"), body.startswith("|")
+    body = body.lstrip("|") if start else body
+    end = body.endswith("|")
+    body = body[:-1] if end else body
+    parts = {"*": ".*", "^": r"(?:[^A-Za-z0-9_%-]|^|$)"}
+    regex = "".join(parts.get(c) or re.escape(c) for c in (body if value else ascii_lower(body)))
+    regex = (r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*\.)?" if domain else "^" if start else "") + regex + (r"\Z" if end else "")
+    body = ascii_lower(body)
+    tokens = tuple(m.group() for m in TOKEN.finditer(body)
+                   if (body[m.start() - 1] != "*" if m.start() else start) and (body[m.end()] != "*" if m.end() < len(body) else end))
+    return Rule("allow" if exception else "block", "pattern", text, "", regex, tokens, match_case=bool(value))
 
 
 def default_rules() -> list[Rule]:
@@ -116,7 +137,7 @@ class RuleIndex:
         self.always: list[tuple[Rule, re.Pattern]] = []
         self.by_token: dict[str, list[tuple[Rule, re.Pattern]]] = {}
         for rule in rules:
-            entry = (rule, re.compile(rule.regex, re.I | re.A if rule.kind == "pattern" else 0))
+            entry = (rule, rule.compiled())
             if rule.tokens:
                 rarest = min(rule.tokens, key=lambda t: (counts.get(t, 0), -len(t), t))
                 self.by_token.setdefault(rarest, []).append(entry)
@@ -132,17 +153,19 @@ class RuleIndex:
         for token in url_tokens(url):
             candidates += self.by_token.get(token, ())
         target = host + path
-        best, blocked = None, False
+        best = None
         for rule, regex in candidates:
-            if rule.kind == "domain":
-                if regex.search(target):
-                    key = (len(rule.text), len(rule.host), rule.action == "block")
-                    if best is None or key > best[0]:
-                        best = (key, rule)
-            elif not blocked and regex.search(url):
-                blocked = True
+            if rule.kind == "domain" and regex.search(target):
+                key = (len(rule.text), len(rule.host), rule.action == "block")
+                if best is None or key > best[0]:
+                    best = (key, rule)
         if best:
             return host, path, best[1].text, best[1].action, len(candidates)
+
+        def fits(action: str) -> bool:
+            return any(rule.kind == "pattern" and rule.action == action and regex.search(url) for rule, regex in candidates)
+
+        blocked = fits("block") and not fits("allow")
         return host, path, None, "block" if blocked else "allow", len(candidates)
 
 

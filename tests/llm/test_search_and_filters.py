@@ -96,7 +96,9 @@ def test_vectors_are_shuffled_once_and_queries_pass_in_blocks(spark):
 URLS = ["http://a.com/en/1", "https://WWW.Example.com/en/x?y#z", "http://example.com/en", "http://example.com/EN/", "http://example.com",
         "http://x.net/es/1", "http://net/fr/", "http://xnet/fr/", "http://a.net/de/", "nourl", "", None, "http://a.org/p?u=http://b.com/",
         "http://a.org/adserver/1", "http://a.org/myadserver/1", "http://casino.org", "http://a.org/x-CASINO-y", "http://a.org/caſino/",
-        "http://host:80/en/", "ftp://example.com/en/" + "q" * 50_000, "http://a.com#/en/", "://com/"]
+        "http://host:80/en/", "ftp://example.com/en/" + "q" * 50_000, "http://a.com#/en/", "://com/",
+        "http://a.b.org/ok", "http://a.b.org/ok/", "http://xb.org/", "http://x.org/?http://b.org/", "http://x.org/Case/", "http://x.org/case/",
+        "http://spam-farm.x.org/", "http://www.spam-filter.org/", "http://a.org/ads.txt", "http://www.cheap-pills.org/en/1\n"]
 
 
 def judge_all(rules, url):
@@ -106,15 +108,19 @@ def judge_all(rules, url):
     host, path = url_filter.split_url(url)
     if url is None:
         return host, path, None, "allow"
-    fits = [r for r in rules if re.search(r.regex, host + path if r.kind == "domain" else url, re.I | re.A if r.kind == "pattern" else 0)]
+    def flags(rule):
+        return 0 if rule.kind == "domain" else re.A if rule.match_case else re.I | re.A
+
+    fits = [r for r in rules if re.search(r.regex, host + path if r.kind == "domain" else url, flags(r))]
     domain = max((r for r in fits if r.kind == "domain"), key=lambda r: (len(r.text), len(r.host), r.action == "block"), default=None)
     if domain:
         return host, path, domain.text, domain.action
-    return host, path, None, "block" if any(r.kind == "pattern" for r in fits) else "allow"
+    actions = {r.action for r in fits if r.kind == "pattern"}
+    return host, path, None, "block" if actions == {"block"} else "allow"
 
 
 def test_index_equals_trying_every_rule(spark):
-    rules = url_filter.default_rules() + [url_filter.pattern_rule(p) for p in ("track", "^pix*el^", "*", "/zz.gif") if p != "*"]
+    rules = url_filter.default_rules() + [url_filter.pattern_rule(p) for p in ("track", "^pix*el^", "/zz.gif", "||b.org^", "@@|http://a.b.org/ok|", "/Case/$match-case")]
     df = spark.createDataFrame([(i, u, "x") for i, u in enumerate(URLS)], "page_id long, url string, host string")
     got = {r.page_id: tuple(r)[1:5] for r in url_filter.filter_urls(df, rules).collect()}
     assert got == {i: judge_all(rules, u) for i, u in enumerate(URLS)}
@@ -123,6 +129,40 @@ def test_index_equals_trying_every_rule(spark):
     assert url_filter.filter_urls(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("pattern, fits, fails", [
+    ("||b.org^", ["http://b.org", "https://a.b.org/x", "http://B.ORG:80/", "http://u.b.org?x"],
+     ["http://xb.org/", "http://b.organ/", "http://x.org/?u=http://b.org/", "http://x.org/a.b.org/", "b.org", "//b.org/"]),
+    ("|http://b.org", ["http://b.org/x", "HTTP://b.organ"], ["xhttp://b.org", "https://b.org"]),
+    ("/x.gif|", ["http://a/x.gif"], ["http://a/x.gif?1", "http://a/x.gif\n"]),
+    ("/ads/*/top^", ["http://a/ads/1/2/top", "http://a/ads//top?x"], ["http://a/ads/top", "http://a/ads/1/topmost", "http://a/ads/1/top-x"]),
+    ("/Case/$match-case", ["http://a/Case/"], ["http://a/case/", "http://a/CASE/"]),
+    ("a.b", ["http://a.b"], ["http://aXb"]),
+])
+def test_pattern_syntax(pattern, fits, fails):
+    rule = url_filter.pattern_rule(pattern)
+    index = url_filter.RuleIndex([rule], {})
+    assert [index.judge(u)[3] for u in fits] == ["block"] * len(fits)
+    assert [index.judge(u)[3] for u in fails] == ["allow"] * len(fails)
+    both = url_filter.RuleIndex([rule, url_filter.pattern_rule("@@" + pattern)], {})
+    assert {both.judge(u)[3] for u in fits + fails} == {"allow"}
+
+
+def test_patterns_fetch_by_complete_tokens_only():
+    def tokens(text):
+        return url_filter.pattern_rule(text).tokens
+
+    assert tokens("||b.org^") == ("b", "org") and tokens("||adult-") == ("adult",) and tokens("||ads") == ()
+    assert tokens("|http://b.org") == ("http", "b") and tokens("/x.gif|") == ("x", "gif") and tokens("ads") == ()
+    with pytest.raises(ValueError):
+        url_filter.pattern_rule("||a.org^$third-party")
+
+
+def test_default_patterns_decide_real_rows(spark):
+    rows = url_filter.filter_urls(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).where("rule IS NULL")
+    found = {r.verdict: r["count"] for r in rows.groupBy("verdict").count().collect()}
+    assert found["block"] > 0 and found["allow"] > found["block"]
+
+
 def test_rules_are_filed_under_their_rarest_token():
     rule = url_filter.domain_rule("block", "example.com", "/en/")
     index = url_filter.RuleIndex([rule], {"com": 900, "en": 40, "example": 70})
