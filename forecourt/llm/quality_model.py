@@ -7,6 +7,9 @@ partition, then over a few tasks, so the driver gets a fixed number of small mat
 third of the labelled rows, kept out of that fit, are made probabilities by pool-adjacent-violators
 over a histogram of scores, interpolated between the pooled levels.
 
+All sums over documents are sums of integers (statistics in steps of 1 / UNIT for mean and deviation, features
+in steps of 1 / STEPS for the matrices), so the scores do not depend on how rows are dealt or ordered.
+
 Defined results: a null text is empty; an empty text has statistics like any other and gets a
 score; repeated rows and labels count as often as they stand in their tables, rows without id or
 label teach nothing; without labels of both kinds every score is the share of label 1 (0.5 without
@@ -40,6 +43,10 @@ BINS = 2000
 SCORE_RANGE = (-1.0, 2.0)
 THRESHOLD = 0.7
 SUMMING_TASKS = 8
+UNIT = 1 << 16
+#: Steps of a Fourier feature (at most 1/11 in size), and of the constant and the label: products stay below
+#: 2**30, so a 64-bit sum holds 8 billion rows a task.
+STEPS = (1 << 18, 1 << 15)
 
 _CLASSES = {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digits": b"0123456789", "symbols": b"#*$%&|<>",
             "marks": b"!\"'()+,-./:;=?@[\\]^_`{}~"}
@@ -88,7 +95,10 @@ class Features:
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
         x = np.clip((x - self.mean) / self.scale, -REACH, REACH)
-        return np.hstack([np.sqrt(2 / FEATURES) * np.cos(x @ self.w + self.b), np.ones((len(x), 1))])
+        angle = np.tile(self.b, (len(x), 1))
+        for column, w in zip(x.T, self.w):  # one by one: a matrix product may round by the number of rows
+            angle += column[:, None] * w
+        return np.hstack([np.sqrt(2 / FEATURES) * np.cos(angle), np.ones((len(x), 1))])
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -97,32 +107,40 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def scaling(stats: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Mean and deviation of every statistic over all documents."""
-    k = range(len(STATISTICS))
-    row = stats.agg(*[F.avg(F.col("x")[i]).alias(f"m{i}") for i in k], *[F.stddev_pop(F.col("x")[i]).alias(f"s{i}") for i in k]).first()
-    return np.array([row[f"m{i}"] or 0.0 for i in k]), np.array([row[f"s{i}"] or 0.0 for i in k])
+    names = range(len(STATISTICS))
+    steps = [F.round(F.col("x")[i] * UNIT).cast("decimal(19,0)") for i in names]
+    row = stats.agg(F.count(F.lit(1)).alias("n"), *[F.sum(q).alias(f"m{i}") for i, q in enumerate(steps)],
+                    *[F.sum(q * q).alias(f"s{i}") for i, q in enumerate(steps)]).first()
+    n = max(row["n"], 1)
+    sums, squares = ([int(row[f"{c}{i}"] or 0) for i in names] for c in "ms")
+    return (np.array([m / n / UNIT for m in sums]),
+            np.array([np.sqrt(float(n * q - m * m)) / n / UNIT for m, q in zip(sums, squares)]))
 
 
 def ridge(rows: DataFrame, features: Features) -> np.ndarray | None:
     """Weights from the rows (x, y); None unless both labels occur."""
     size = FEATURES + 1
+    steps = np.array([STEPS[0]] * FEATURES + [STEPS[1]] * 2, np.float64)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((size + 1, size + 1))  # of [Z y]'[Z y]
+        total = np.zeros((size + 1, size + 1), np.int64)  # of [Z y]'[Z y], in steps
         for b in batches:
             if b.num_rows:
                 z = np.hstack([features(_matrix(b.column(0))), np.asarray(b.column(1), np.float64)[:, None]])
-                total += z.T @ z
+                z = np.rint(z * steps)
+                total += (z.T @ z).astype(np.int64)  # a batch's sums are whole numbers below 2**53
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["m"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((size + 1) ** 2)
+        total = np.zeros((size + 1) ** 2, np.int64)
         for b in batches:
             for m in b.column(0):
-                total += np.frombuffer(m.as_buffer())
+                total += np.frombuffer(m.as_buffer(), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["m"])
 
     few = rows.select("x", "y").mapInArrow(sums, "m binary").repartition(SUMMING_TASKS).mapInArrow(add, "m binary")
-    total = sum(np.frombuffer(r["m"]) for r in few.collect()).reshape(size + 1, size + 1)
+    parts = [np.frombuffer(r["m"], np.int64).astype(object) for r in few.collect()]
+    total = sum(parts).astype(np.float64).reshape(size + 1, size + 1) / np.outer(steps, steps)
     n, ones = total[size - 1, size - 1], total[size - 1, size]
     if not 0 < ones < n:
         return None
@@ -153,7 +171,7 @@ class Classifier:
         self.features, self.weights, self.positions, self.values = features, weights, positions, values
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return self.features(x) @ self.weights
+        return (self.features(x) * self.weights).sum(axis=1)
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
         if self.weights is None:
