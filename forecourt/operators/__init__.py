@@ -8,11 +8,13 @@ from forecourt.operators.aggs import (
 from forecourt.operators.joins import (
     full_outer,
     guarded_join,
+    hot_keys,
     lookup,
     lookup_chain,
     merge_null_safe,
     polymorphic_lookup,
     role,
+    salted_lookups,
 )
 from forecourt.operators.latest import latest_per_key, max_id_per_key, owner_by_max_id
 from forecourt.operators.windows import dense_rank_first, previous_in_range, repeat_deals, with_previous
@@ -24,6 +26,7 @@ __all__ = [
     "full_outer",
     "group_hidden_key",
     "guarded_join",
+    "hot_keys",
     "latest_per_key",
     "lookup",
     "lookup_chain",
@@ -35,6 +38,7 @@ __all__ = [
     "previous_in_range",
     "repeat_deals",
     "role",
+    "salted_lookups",
     "status_pivot",
     "with_previous",
 ]

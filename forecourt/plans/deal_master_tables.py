@@ -220,21 +220,20 @@ def deal_master_from_tables(
     # Joins are grouped by key so the wide deal stream is re-partitioned once per key
     # (buy lead, contact, sell lead, profile, creator, deal) instead of once per join; small
     # dimensions are broadcast by AQE when their measured size allows.
-    rows = (cp.join(status, F.col("_st") == F.col("status_id"), "left")
-              .join(bl, F.col("_bl") == F.col("buy_lead_id"), "left")
-              .filter(C.utc_floor("created_time", created_floor) & (F.col("_bl_category") == category)
-                      & ~F.col("description").isin(*rules.EXCLUDED_DEAL_STATUSES))
-              # buy-lead keyed
-              .join(closers, F.col("_closer_lead") == F.col("buy_lead_id"), "left")
-              .join(visits, F.col("_v_lead") == F.col("buy_lead_id"), "left")
-              .join(sources, F.col("_src_lead") == F.col("buy_lead_id"), "left")
-              .join(contact, F.col("_cd") == F.col("_bl_contact"), "left")
-              # sell-lead keyed (the listing belongs to the lead row, so it needs one)
-              .join(lead, F.col("_l") == F.col("sell_lead_id"), "left")
-              .join(listing, (F.col("_ll_lead") == F.col("sell_lead_id")) & F.col("_l").isNotNull(), "left")
-              .join(procured, F.col("_pc_lead") == F.col("sell_lead_id"), "left")
-              .join(asked_prices, F.col("_asked_lead") == F.col("sell_lead_id"), "left")
-              .join(insurance, F.col("_lrv_lead") == F.col("sell_lead_id"), "left")
+    # The two lead chains split hot leads themselves (a buyer or a fleet seller with a large share of the deals).
+    rows = joins.salted_lookups(
+        cp.join(status, F.col("_st") == F.col("status_id"), "left"), "buy_lead_id",
+        [(bl, "_bl", "left"), (closers, "_closer_lead", "left"), (visits, "_v_lead", "left"), (sources, "_src_lead", "left")],
+        key_rows=deal.select("buy_lead_id"))
+    rows = (rows.filter(C.utc_floor("created_time", created_floor) & (F.col("_bl_category") == category)
+                        & ~F.col("description").isin(*rules.EXCLUDED_DEAL_STATUSES))
+            .join(contact, F.col("_cd") == F.col("_bl_contact"), "left"))
+    # sell-lead keyed (the listing belongs to the lead row, so it needs one)
+    listed = lead.join(listing, F.col("_ll_lead") == F.col("_l"), "left")
+    rows = joins.salted_lookups(
+        rows, "sell_lead_id", [(listed, "_l", "left"), (procured, "_pc_lead", "left"), (asked_prices, "_asked_lead", "left"),
+                               (insurance, "_lrv_lead", "left")], key_rows=deal.select("sell_lead_id"))
+    rows = (rows
               .join(profile, F.col("_lp") == F.col("_l_profile"), "left")
               .join(names["make"], F.col("_make") == F.col("make_id"), "left")
               .join(names["model"], F.col("_model") == F.col("model_id"), "left")

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forecourt.functions import rules
 from forecourt.operators.joins import merge_null_safe
 from forecourt.plans.contract import DEAL_MASTER_COLUMNS, MARGIN_COLUMNS
 from forecourt.plans.deals import DEAL_MASTER_SQL, deal_master_shared
@@ -25,19 +26,28 @@ TRAILING_AS_OF = dt.datetime(2001, 8, 1)
 TRAILING_DAYS = 90
 
 
-def margin_base_frame(t: Tables) -> DataFrame:
+def margin_base_frame(t: Tables, delivered_from: dt.datetime | None = None) -> DataFrame:
     """Deal master + refurb cost on the sell lead, null keys matching null keys; a vehicle with
     several registrations repeats the deal row. The registration column is dropped and the
-    listing date becomes a timestamp (as the export expects)."""
+    listing date becomes a timestamp (as the export expects). ``delivered_from`` keeps the deals
+    delivered at or after that time, filtered before they meet leads and costs."""
     def build() -> DataFrame:
-        deals = deal_master_shared(t)
+        deals = deal_master_shared(t, delivered_from)
         invoices, line_costs, advisors = refurb_inputs(t, facts=True)
         cost = refurb_cost(invoices, line_costs, advisors, out_type="double")
         leads = t.orders.select(F.col("o_custkey").alias("sell_lead_id"))
         merged = merge_null_safe(deals, cost, "sell_lead_id", left_keys=leads).drop("reg_no")
         merged = merged.withColumn("car_live_date", F.col("car_live_date").cast("timestamp_ntz"))
         return merged.select(*MARGIN_COLUMNS)
-    return t.memo("margin_base", build)
+    return t.memo(f"margin_base {delivered_from}", build)
+
+
+def margin_trailing_frame(t: Tables, as_of: dt.datetime, days: int = TRAILING_DAYS) -> DataFrame:
+    """The delivered deals of the trailing window, without building the margin rows of all others first: the
+    window's lower bound goes to the deal side of the merges, and the window itself is applied to their result."""
+    frame = margin_base_frame(t, as_of - dt.timedelta(days=days))
+    return trailing_window(frame, "delivery_time", as_of, days, status_col="deal_status",
+                           status=rules.DEAL_STATUS_LABELS[rules.DELIVERY_DONE])
 
 
 def _select_list(prefix: str, cast_live: bool = True) -> str:
@@ -82,10 +92,8 @@ WHERE deal_status = 'Delivered'
   AND CAST(delivery_time AS TIMESTAMP) >= TIMESTAMP '{TRAILING_AS_OF:%Y-%m-%d %H:%M:%S}' - INTERVAL {TRAILING_DAYS} DAY""")
 def publish_trailing_q(spark: SparkSession, d: str) -> DataFrame:
     """Write the delivered deals of the trailing window to a target, read it back."""
-    trailing = trailing_window(margin_base_frame(Tables(spark, d)), "delivery_time", TRAILING_AS_OF, TRAILING_DAYS,
-                               status_col="deal_status", status="Delivered")
     target = _scratch_target(spark, "trailing")
-    publish_table(trailing, target)
+    publish_table(margin_trailing_frame(Tables(spark, d), TRAILING_AS_OF), target)
     return published_table(spark, target)
 
 

@@ -6,10 +6,11 @@ import pytest
 
 from forecourt.plans import deals
 from forecourt.plans.deals import deal_master_frame
-from forecourt.plans.margin import margin_base_frame
+from forecourt.plans.margin import TRAILING_AS_OF, margin_base_frame, margin_trailing_frame
 from forecourt.plans.refurb import refurb_cost
 from forecourt.plans.refurb_testdata import refurb_inputs
 from forecourt.plans.registry import QUERIES, load_all
+from forecourt.sinks.publish import trailing_window
 from forecourt.sources.tables import Tables
 
 load_all()
@@ -118,6 +119,34 @@ def test_deal_products_read_the_big_tables_once(spark, build, orders):
     assert _scans(plan) == {"lineitem": 1, "events": 1, "orders": orders} and "ReusedExchange" in plan
 
 
+def test_trailing_window_filters_deals_before_leads_meet_them(spark):
+    """Status and date floor go to the deal side: the semi join to the late deliveries is below every lead join, needs no
+    exchange of its own, and the big tables are still read as often as for the whole margin base."""
+    plan = _final(spark, lambda t: margin_trailing_frame(t, TRAILING_AS_OF))
+    assert _scans(plan) == {"lineitem": 1, "events": 1, "orders": 2}
+    lines = plan.split("\n")
+    depth = [len(line) - len(line.lstrip(" :+-*")) for line in lines]
+    semi = next(i for i, line in enumerate(lines) if "LeftSemi" in line and "_recent" in line)
+    # the operators above the semi join: the nearest lines before it that are less deep, each time
+    above, limit = [], depth[semi]
+    for i in range(semi, -1, -1):
+        if depth[i] < limit:
+            above.append(lines[i])
+            limit = depth[i]
+    for key in ("c_custkey", "_ev_lead", "_src_lead", "_closer_lead", "_loan_deal"):
+        assert any("SortMergeJoin" in line and key in line for line in above), key
+    status = [i for i, line in enumerate(lines) if "Filter" in line and "Delivery Done" in line and depth[i] > depth[semi]]
+    assert status
+
+
+def test_trailing_frame_is_the_window_of_the_whole(spark):
+    t = Tables(spark, SF)
+    for days in (0, 90, 400):
+        whole = trailing_window(margin_base_frame(t), "delivery_time", TRAILING_AS_OF, days, status_col="deal_status", status="Delivered")
+        got, want = margin_trailing_frame(t, TRAILING_AS_OF, days).collect(), whole.collect()
+        assert sorted(map(str, got)) == sorted(map(str, want)) and (days < 400 or got)
+
+
 def test_rows_without_a_target_are_not_shuffled(spark):
     plan = _final(spark, lambda t: deals.resolve_sources(t.events.select("event_id", "user_id", "event_type"), t))
     union = plan[plan.index("Union"):]

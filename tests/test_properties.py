@@ -1,6 +1,7 @@
 """Property tests: equivalent spellings of one operator agree on random inputs."""
 
 import itertools
+import re
 from collections import Counter
 
 import pandas as pd
@@ -184,6 +185,47 @@ def test_one_lead_and_one_month_is_many_tasks(spark, seconds):
     assert len(sizes) >= 10 and max(sizes) < 250_000
 
 
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.integers(0, 5)), max_size=40), st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=12),
+       st.lists(st.integers(0, 6), max_size=12), st.integers(2, 9))
+def test_salted_lookups_equal_plain_joins(spark, rows, first, second, share):
+    # Repeated rows, null keys on both sides, keys that a dimension holds several times or not at all, empty tables.
+    df = spark.createDataFrame([(i // 2, k) for i, k in enumerate(rows)], "n long, k long")
+    a = spark.createDataFrame([(k, i) for i, k in enumerate(first)], "ak long, av long")
+    b = spark.createDataFrame([(k, i) for i, k in enumerate(second)], "bk long, bv long")
+    for how in ("left", "inner"):
+        want = df.join(a, F.col("k") == F.col("ak"), how).join(b, F.col("k") == F.col("bk"), "left")
+        got = joins.salted_lookups(df, "k", [(a, "ak", how), (b, "bk", "left")], hot_share=share, hot_rows=1)
+        assert got.columns == want.columns and _multiset(got) == _multiset(want)
+
+
+def test_hot_lead_of_a_chain_is_many_tasks_without_session_settings(spark):
+    """A third of 600k rows has one key and a third none. All skew handling of the session is off and broadcasts too."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.adaptive.skewJoin.enabled": "false",
+            "spark.sql.adaptive.forceOptimizeSkewedJoin": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = F.col("id")
+        df = spark.range(0, 600_000, numPartitions=6).select(
+            "id", F.when(n % 3 == 0, 7).when(n % 3 == 1, n % 50_000).cast("long").alias("lead"))
+        dims = [spark.range(0, 50_000).select(F.col("id").alias(f"key{i}"), (F.col("id") * i).alias(f"value{i}")) for i in (1, 2, 3)]
+        hot = {r["_hot_key"]: r["_salts"] for r in joins.hot_keys(df, "lead", hot_share=50, hot_rows=10_000).collect()}
+        assert list(hot) == [7] and hot[7] == 26  # 200,004 of 400,000 rows with a key
+        got = joins.salted_lookups(df, "lead", [(d, f"key{i}", "left") for i, d in enumerate(dims, 1)], hot_share=50, hot_rows=10_000)
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 600_000 and len(sizes) == 16 and max(sizes) < 100_000
+        # one shuffle of the rows for the whole chain, and one a dimension
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"Exchange hashpartitioning\(lead#\d+L, _salt#", plan)) == 1 and plan.count("SortMergeJoin") == 3
+        assert got.where((F.col("lead") == 7) & (F.col("value3") == 21)).count() == sum(1 for i in range(600_000) if i % 3 == 0 or (i % 3 == 1 and i % 50_000 == 7))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 #: Labels typed in by hand from the rules of the workload: (lead status, bank status, deal status) -> label.
 HAND_LABELS = [
     (0, 0, "Token Collected", "Loan Logged In"), (0, 0, "Deal Cancelled", "Customer Not Interested"),
