@@ -83,11 +83,14 @@ def previous_in_range(df: DataFrame, partition: Sequence[str], order: Sequence[s
     keys = [*partition, "_bucket"]
     none = F.lit(None).cast("long")
     marks = [none if c is None or (m := _number(df, c)) is None else m for c in [*order, None][:2]]
+    if _number(df, order[0]) is None:
+        marks[1] = none  # whether rows are equal in the first column isn't known, so the second can't cut
 
     # max(struct(isnull(k), k, ...)) is the last row in ASC NULLS LAST order.
     sort_key = [x for c in order for x in (F.col(c).isNull().alias(f"_n_{c}"), F.col(c).alias(f"_k_{c}"))]
     last = F.max(F.struct(*sort_key, *[F.col(c).alias(f"_c_{c}") for c in carried])).alias("_last")
     bounds = [f(m).alias(f"_{f.__name__}{i}") for i, m in enumerate(marks) for f in (F.min, F.max)]
+    bounds.append((F.count(marks[0]).between(1, F.count(F.lit(1)) - 1)).alias("_mixed"))  # nulls and others
     ends, rows = None, cut  # the segments' last rows; the rows still to be cut
 
     def same(left: list[str], right: str) -> Column:
@@ -104,14 +107,14 @@ def previous_in_range(df: DataFrame, partition: Sequence[str], order: Sequence[s
         ends = done if ends is None else ends.unionByName(done)
         parts = F.ceil(F.col("_size") * hot_share / total)
         limits = sizes.where(hot).select(*[F.col(k).alias(f"_hot{level}_{i}") for i, k in enumerate(keys)],
-                                         parts.alias("_parts"), *[f"_{f}{i}" for i in (0, 1) for f in ("min", "max")])
+                                         parts.alias("_parts"), "_mixed", *[f"_{f}{i}" for i in (0, 1) for f in ("min", "max")])
 
         def range_of(i: int) -> Column:
             low, high, mark = (c.cast("double") for c in (F.col(f"_min{i}"), F.col(f"_max{i}"), marks[i]))
             return F.coalesce(F.floor((mark - low) / (high - low + 1) * F.col("_parts")), F.col("_parts"))  # nulls last
 
-        part = F.when(F.col("_parts").isNull(), 0).otherwise(F.when(F.col("_max0") > F.col("_min0"), range_of(0)).otherwise(range_of(1)))
-        drop = ["_parts", "_min0", "_max0", "_min1", "_max1", *[f"_hot{level}_{i}" for i in range(len(keys))]]
+        part = F.when(F.col("_parts").isNull(), 0).otherwise(F.when((F.col("_max0") > F.col("_min0")) | F.col("_mixed"), range_of(0)).otherwise(range_of(1)))
+        drop = ["_parts", "_mixed", "_min0", "_max0", "_min1", "_max1", *[f"_hot{level}_{i}" for i in range(len(keys))]]
         match = same(keys, f"_hot{level}_")
         rows = rows.join(F.broadcast(limits), match).withColumn(f"_part{level}", part.cast("long")).drop(*drop)
         cut = cut.join(F.broadcast(limits), match, "left").withColumn(f"_part{level}", part.cast("long")).drop(*drop)

@@ -6,7 +6,7 @@ from collections import Counter
 
 import pandas as pd
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -157,6 +157,7 @@ def test_bucketed_lag_on_a_million_rows_with_a_hot_group(spark):
 @SETTINGS
 @given(st.lists(st.tuples(st.integers(0, 1), st.one_of(st.none(), st.integers(0, 3), st.integers(0, 10**17)),
                           st.one_of(st.none(), st.integers(0, 40))), min_size=1, max_size=40), st.integers(0, 3), st.integers(2, 9))
+@example([(1, None, 0), (1, 0, None)], 1, 2)  # one time and a null time in a bucket
 def test_segmented_lag_equals_window_lag(spark, rows, cuts, share):
     # One bucket for all, cut into ranges of the first and the second order column: crowded, equal and null values.
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "n long, g long, t long, id long")
