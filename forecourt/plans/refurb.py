@@ -15,7 +15,8 @@ Semantics kept from the source workload:
 
 Plan: job rows are summed per invoice before anything else (one partial aggregate over the
 biggest table), advisors are counted per (job card, name), and the two meet on the invoice
-grain. No step materialises job rows x advisors.
+grain. No step materialises job rows x advisors. The rank is taken below the level-1 grouping, whose keys
+hold all its columns: the other advisors' rows go before they are grouped.
 """
 
 from __future__ import annotations
@@ -69,10 +70,11 @@ def refurb_cost(
                     .join(named, "job_card_id", "left"))
     rows = rows.withColumn("_cost", F.col("_lines") * F.coalesce(F.col("_copies"), F.lit(1)))
 
-    level1 = rows.groupBy(*INVOICE_KEYS, "advisor_name").agg(F.sum("_cost").alias("_cost"))
-    first = dense_rank_first(level1, ["invoice_no", "registration_no"], "advisor_name")
+    # The rank reads grouping columns only, so it is the same before the grouping, and only its rows are grouped.
+    first = dense_rank_first(rows, ["invoice_no", "registration_no"], "advisor_name")
+    level1 = first.groupBy(*INVOICE_KEYS, "advisor_name").agg(F.sum("_cost").alias("_cost"))
     norm = sentinel_normalise("refurb_category", CATEGORY_SENTINELS, CATEGORY_DEFAULT)
-    kept = first.filter(norm.isin(*categories))
+    kept = level1.filter(norm.isin(*categories))
     total = kept.groupBy("sell_lead_id", "registration_no").agg(F.sum("_cost").alias("_total"))
     value = scaled("_total", factor) if factor else F.col("_total")
     if out_type:

@@ -1,4 +1,4 @@
-"""Tasks of a fixed size: shuffles of large tables have more partitions."""
+"""Tasks of a fixed size: shuffles of large tables have more partitions, and the rank prunes before the grouping."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 import __spark_entry__
+from forecourt.plans.refurb import INVOICE_KEYS, refurb_cost
 from forecourt.session import sized_session
 from forecourt.sources import tables
 
@@ -54,3 +55,19 @@ def test_ranked_rollup_of_larger_tables_has_more_tasks(spark, tmp_path, monkeypa
     for i in range(3000):  # advisor "b" comes first of "c", "b" and null
         want[i % 7] = want.get(i % 7, 0.0) + i % 5
     assert {r["o_custkey"]: r["total_cost"] for r in df.collect()} == want
+
+
+def test_refurb_rank_prunes_before_the_grouping(spark):
+    kinds = {"invoice_created_at": "timestamp_ntz", "in_date": "timestamp_ntz", "out_date": "timestamp_ntz",
+             "invoice_no": "long", "job_card_id": "long", "sell_lead_id": "long"}
+    invoices = spark.createDataFrame(
+        [(1, *[{"long": 5}.get(kinds.get(k), None if k in kinds else "REFURB") for k in INVOICE_KEYS])],
+        ", ".join(["invoice_id long", *[f"{k} {kinds.get(k, 'string')}" for k in INVOICE_KEYS]]))
+    lines = spark.sql("SELECT 1L AS invoice_id, CAST(x AS DECIMAL(18,2)) AS line_cost FROM VALUES (2), (3) AS t(x)")
+    advisors = spark.sql("SELECT 5L AS job_card_id, a AS advisor_name FROM VALUES ('b'), ('a'), ('a'), (NULL) AS t(a)")
+    df = refurb_cost(invoices, lines, advisors, factor=None, out_type="double")
+    assert [r["actual_refurb_cost"] for r in df.collect()] == [10.0]  # two users named "a", five each
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    group = next(i for i, line in enumerate(plan.splitlines()) if re.search(r"Aggregate \[.*in_date.*advisor_name", line))
+    window = next(i for i, line in enumerate(plan.splitlines()) if "dense_rank(" in line)
+    assert group < window  # children come below
