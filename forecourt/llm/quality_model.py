@@ -43,6 +43,8 @@ BINS = 2000
 SCORE_RANGE = (-1.0, 2.0)
 THRESHOLD = 0.7
 SUMMING_TASKS = 8
+#: Text bytes and rows that a worker takes at a time: a row's features are 2 kB, several times over.
+SLICE_BYTES, SLICE_ROWS = 1_000_000, 1000
 UNIT = 1 << 16
 #: Steps of a Fourier feature (at most 1/11 in size), and of the constant and the label: products stay below
 #: 2**30, so a 64-bit sum holds 8 billion rows a task.
@@ -76,7 +78,7 @@ def with_statistics(docs: DataFrame, carry: Sequence[str], text: str = "text") -
     step = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("t"))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in byte_sized(batches, "t", 16_000_000):
+        for b in byte_sized(batches, "t", SLICE_BYTES):
             x = [statistics(t) for t in texts(b.column(2))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(x, pa.list_(pa.float64()))],
                                              names=["row", "doc_id", "x"])
@@ -101,6 +103,13 @@ class Features:
         return np.hstack([np.sqrt(2 / FEATURES) * np.cos(angle), np.ones((len(x), 1))])
 
 
+def row_sized(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with at most ``most`` rows; none is empty."""
+    for b in batches:
+        for lo in range(0, b.num_rows, most):
+            yield b.slice(lo, most)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(len(column), -1)
 
@@ -124,11 +133,10 @@ def ridge(rows: DataFrame, features: Features) -> np.ndarray | None:
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((size + 1, size + 1), np.int64)  # of [Z y]'[Z y], in steps
-        for b in batches:
-            if b.num_rows:
-                z = np.hstack([features(_matrix(b.column(0))), np.asarray(b.column(1), np.float64)[:, None]])
-                z = np.rint(z * steps)
-                total += (z.T @ z).astype(np.int64)  # a batch's sums are whole numbers below 2**53
+        for b in row_sized(batches, SLICE_ROWS):
+            z = np.hstack([features(_matrix(b.column(0))), np.asarray(b.column(1), np.float64)[:, None]])
+            z = np.rint(z * steps)
+            total += (z.T @ z).astype(np.int64)  # a slice's sums are whole numbers below 2**53
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["m"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,11 +204,10 @@ def train(stats: DataFrame, labels: DataFrame) -> Classifier:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, ones = np.zeros(BINS, np.int64), np.zeros(BINS, np.int64)
-        for b in batches:
-            if b.num_rows:
-                at = raw_bin(model.raw(_matrix(b.column(0)))).astype(np.int64)
-                np.add.at(counts, at, 1)
-                np.add.at(ones, at, np.asarray(b.column(1), np.int64))
+        for b in row_sized(batches, SLICE_ROWS):
+            at = raw_bin(model.raw(_matrix(b.column(0)))).astype(np.int64)
+            np.add.at(counts, at, 1)
+            np.add.at(ones, at, np.asarray(b.column(1), np.int64))
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(counts[some]), pa.array(ones[some])],
                                          names=["bin", "n", "ones"])
@@ -220,11 +227,10 @@ def classify(docs: DataFrame, labels: DataFrame, carry: Sequence[str], threshold
     schema = stats.select("row", "doc_id").schema.add("score", "double").add("predicted", "integer")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                s = model(_matrix(b.column(2)))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32))],
-                                                 names=["row", "doc_id", "score", "predicted"])
+        for b in row_sized(batches, SLICE_ROWS):
+            s = model(_matrix(b.column(2)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32))],
+                                             names=["row", "doc_id", "score", "predicted"])
 
     return stats.mapInArrow(score, schema)
 
@@ -244,7 +250,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     model = train(materialise(with_statistics(docs, []).drop("row"), "statistics"), quality_labels(labels))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in byte_sized(batches, "text", 16_000_000):
+        for b in byte_sized(batches, "text", SLICE_BYTES):
             x = np.array([statistics(t) for t in texts(b.column("text"))])
             yield b.filter(pa.array(model(x) >= threshold))
 
