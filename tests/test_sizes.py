@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections import Counter
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 import __spark_entry__
+from forecourt.operators import joins
+from forecourt.plans import basics
 from forecourt.plans.refurb import INVOICE_KEYS, refurb_cost
 from forecourt.session import sized_session
 from forecourt.sources import tables
@@ -73,3 +77,43 @@ def test_refurb_rank_prunes_before_the_grouping(spark):
     group = next(i for i, line in enumerate(plan.splitlines()) if re.search(r"Aggregate \[.*in_date.*advisor_name", line))
     window = next(i for i, line in enumerate(plan.splitlines()) if "dense_rank(" in line)
     assert group < window  # children come below
+
+
+def test_null_product_is_dealt_by_both_sides(spark):
+    left = spark.range(300).selectExpr("id", "IF(id % 3 = 0, id, NULL) AS k")
+    kinds = {"different": "id", "equal": "0 * id"}  # equal rows go to one block, and the other blocks are empty
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        for kind, value in kinds.items():
+            right = spark.range(100).selectExpr("IF(id % 2 = 0, NULL, id) AS k", f"IF(id % 2 = 0, {value}, id) AS v")
+            df = joins.merge_null_safe(left, right, "k", right_nulls=50, null_rows_a_block=5)
+            rows = df.withColumn("task", F.spark_partition_id()).collect()
+            nulls = [0 if kind == "equal" else v for v in range(0, 100, 2)]
+            want = [(i, None, v) for i in range(300) if i % 3 for v in nulls]
+            want += [(i, i, i if i < 100 and i % 2 else None) for i in range(0, 300, 3)]
+            key = str  # rows have nulls
+            assert sorted([(r.id, r.k, r.v) for r in rows], key=key) == sorted(want, key=key)
+            tasks = Counter(r.task for r in rows if r.k is None)
+            assert kind == "equal" or len(tasks) >= 3 and max(tasks.values()) < len(nulls) * 200 * 0.7
+    finally:
+        spark.conf.set(coalesce, old)
+
+
+def test_merge_query_sizes_its_tasks_by_the_null_product(spark, tmp_path, monkeypatch):
+    n, late = 400, dt.datetime(2001, 8, 1)
+    pq.write_table(pa.table({"o_orderkey": pa.array(range(n), pa.int64()), "o_custkey": pa.array([i % 9 for i in range(n)], pa.int64()),
+                             "o_orderdate": [late if i % 2 else dt.datetime(2000, 1, 1) for i in range(n)]}), tmp_path / "orders.parquet")
+    pq.write_table(pa.table({"c_custkey": pa.array(range(n), pa.int64()), "c_name": [f"c{i}" for i in range(n)],
+                             "c_nationkey": pa.array([0 if i >= 100 else 1 for i in range(n)], pa.int64()),
+                             "c_acctbal": [float(i) for i in range(n)], "c_mktsegment": ["X"] * n}), tmp_path / "customer.parquet")
+    monkeypatch.setattr(basics, "NULL_PAIRS_A_TASK", 200 * 300 // 20)
+    df = __spark_entry__.queries()["merge_null_safe"](spark, str(tmp_path))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    counts = {int(x) for x in re.findall(r"hashpartitioning\([^\n]*?, (\d+)\), ENSURE", plan)}
+    assert "SortMergeJoin" in plan and counts == {20}
+    got = Counter((r.deal_id, r.sell_lead_id, r.actual_refurb_cost) for r in df.collect())
+    want = Counter((i, None, float(c)) for i in range(1, n, 2) for c in range(100, n))
+    want.update((i, i % 9, float(i % 9)) for i in range(0, n, 2))
+    assert got == want
