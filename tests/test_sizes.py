@@ -117,3 +117,20 @@ def test_merge_query_sizes_its_tasks_by_the_null_product(spark, tmp_path, monkey
     want = Counter((i, None, float(c)) for i in range(1, n, 2) for c in range(100, n))
     want.update((i, i % 9, float(i % 9)) for i in range(0, n, 2))
     assert got == want
+
+
+def test_merge_query_computes_nothing_per_pair(spark, tmp_path):
+    late, early = dt.datetime(2001, 8, 1), dt.datetime(2000, 1, 1)
+    pq.write_table(pa.table({"o_orderkey": pa.array([1, 2, 3, 3, 4], pa.int64()), "o_custkey": pa.array([1, 2, None, 9, 3], pa.int64()),
+                             "o_orderdate": [late, early, early, early, early]}), tmp_path / "orders.parquet")
+    pq.write_table(pa.table({"c_custkey": pa.array([1, 2, None, 3], pa.int64()), "c_name": ["a", "b", "c", "d"],
+                             "c_nationkey": pa.array([0, 1, 1, 1], pa.int64()), "c_acctbal": [2.675, -0.129, 7.0, None],
+                             "c_mktsegment": ["MACHINERY", "MACHINERY", "X", "X"]}), tmp_path / "customer.parquet")
+    df = __spark_entry__.queries()["merge_null_safe"](spark, str(tmp_path))
+    assert dict(df.dtypes) == {"deal_id": "bigint", "sell_lead_id": "bigint", "actual_refurb_cost": "double"}
+    want = [(i, None, c) for i in (1, 3) for c in (2.68, 2.68, 7.0)]  # null x null, two rows of customer 1
+    want += [(2, 2, -0.13), (2, 2, -0.13), (3, 9, None), (4, 3, None)]
+    assert Counter((r.deal_id, r.sell_lead_id, r.actual_refurb_cost) for r in df.collect()) == Counter(want)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    above, join, below = plan.partition("Join LeftOuter")
+    assert join and "cast(" not in above and "as double)" in below
